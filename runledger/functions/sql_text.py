@@ -14,12 +14,9 @@ NOISE = (
     r"|/\*.*?\*/"
     r"|--[^\n]*"
 )
-RESULT_HEAD = r"^[\s(]*(?:select|with|values|from|table)\b"
-WRITES = (
-    r"\binsert\s+(?:into|overwrite)\b"
-    r"|\bdelete\s+from\b"
-    r"|\bmerge\s+into\b"
-    r"|\bupdate\s+\S+\s+set\b"
+RESULT_QUERY = (
+    r"(?s)^(?!.*\b(?:insert\s+(?:into|overwrite)|delete\s+from|merge\s+into|update\s+\S+\s+set)\b)"
+    r"[\s(]*(?:select|with|values|from|table)\b"
 )
 
 
@@ -30,4 +27,4 @@ def is_result_query(sql: Column) -> Column:
     false. Nested bracket comments are not recognised.
     """
     text = F.lower(F.regexp_replace(sql, F.lit(NOISE), F.lit(" ")))
-    return text.rlike(RESULT_HEAD) & ~text.rlike(WRITES)
+    return text.rlike(RESULT_QUERY)

@@ -5,7 +5,6 @@ from __future__ import annotations
 import socket
 import uuid
 from dataclasses import dataclass
-from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -19,11 +18,24 @@ from runledger.operators.statements import (
     write_result_text,
 )
 
-LOG_SCHEMA = (
-    "seq bigint, run_id bigint, ts timestamp, src string, state string,"
-    " progress double, reason string, error_class string, sql string,"
-    " is_result_query boolean, out_path string, schema_ddl string, batch_id string"
-)
+LOG_COLUMNS = {
+    "seq": "bigint",
+    "run_id": "bigint",
+    "ts": "timestamp",
+    "src": "string",
+    "state": "string",
+    "progress": "double",
+    "reason": "string",
+    "error_class": "string",
+    "sql": "string",
+    "is_result_query": "boolean",
+    "out_path": "string",
+    "schema_ddl": "string",
+    "batch_id": "string",
+    "submit_host": "string",
+    "submitted_at": "timestamp",
+}
+LOG_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in LOG_COLUMNS.items())
 
 
 @dataclass
@@ -41,9 +53,12 @@ class Outcome:
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
     """The log as a run-status feed."""
-    return spark.read.schema(
-        f"{LOG_SCHEMA}, submit_host string, submitted_at timestamp"
-    ).parquet(path)
+    return spark.read.schema(LOG_SCHEMA).parquet(path)
+
+
+def stream_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """The log as a streaming run-status feed."""
+    return spark.readStream.schema(LOG_SCHEMA).parquet(path)
 
 
 def run_batch(
@@ -137,29 +152,24 @@ class _RunLog:
 
     def append(self, row, state: str, outcome: Outcome, progress: float | None) -> None:
         self.seq += 1
-        entry = (
-            self.seq,
-            row.stmt_id,
-            datetime.now(timezone.utc),
-            "query",
-            state,
-            progress,
-            outcome.reason,
-            outcome.error_class,
-            row.sql,
-            row.is_result_query,
-            outcome.out_path,
-            outcome.schema_ddl,
-            self.batch_id,
+        entry = {
+            "seq": self.seq,
+            "run_id": row.stmt_id,
+            "src": "query",
+            "state": state,
+            "progress": progress,
+            "reason": outcome.reason,
+            "error_class": outcome.error_class,
+            "sql": row.sql,
+            "is_result_query": row.is_result_query,
+            "out_path": outcome.out_path,
+            "schema_ddl": outcome.schema_ddl,
+            "batch_id": self.batch_id,
+        }
+        one = self.spark.range(1, numPartitions=1).select(
+            *(F.lit(entry.get(c)).cast(kind).alias(c) for c, kind in LOG_COLUMNS.items())
         )
-        entries = self.spark.createDataFrame([entry], LOG_SCHEMA).coalesce(1)
+        one = one.withColumn("ts", F.current_timestamp())
         if state == "SUBMITTED":
-            entries = stamp_run(entries, self.host)
-        else:
-            entries = entries.withColumns(
-                {
-                    "submit_host": F.lit(self.host),
-                    "submitted_at": F.lit(None).cast("timestamp"),
-                }
-            )
-        entries.write.mode("append").parquet(self.path)
+            one = stamp_run(one, self.host)
+        one.write.mode("append").parquet(self.path)

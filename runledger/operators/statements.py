@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,13 +36,16 @@ def collect_rows(result: DataFrame) -> DataFrame:
 
 def result_schema(result: DataFrame) -> DataFrame:
     """``(ordinal, name, type, nullable)``, one row per result column."""
-    columns = [
-        (i, field.name, field.dataType.simpleString(), field.nullable)
-        for i, field in enumerate(result.schema.fields)
-    ]
-    return result.sparkSession.createDataFrame(
-        columns, "ordinal int, name string, type string, nullable boolean"
+    fields = result.schema.fields
+    columns = pa.table(
+        {
+            "ordinal": pa.array(range(len(fields)), pa.int32()),
+            "name": pa.array([f.name for f in fields], pa.string()),
+            "type": pa.array([f.dataType.simpleString() for f in fields], pa.string()),
+            "nullable": pa.array([f.nullable for f in fields], pa.bool_()),
+        }
     )
+    return result.sparkSession.createDataFrame(columns)
 
 
 def unique_out_path(base: str, run_id: Any) -> str:

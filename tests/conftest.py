@@ -10,7 +10,7 @@ def spark(tmp_path_factory):
         session_builder(
             "runledger-tests",
             conf={
-                "spark.sql.shuffle.partitions": "8",
+                "spark.sql.shuffle.partitions": "4",
                 "spark.ui.enabled": "false",
                 "spark.checkpoint.dir": str(root / "shared"),
                 "spark.sql.warehouse.dir": str(root / "warehouse"),
