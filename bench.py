@@ -32,8 +32,6 @@ HEADLINE = (
     "progress_ratio",
     "running_progress",
     "throttled_report",
-    "running_progress_cut",
-    "throttled_report_cut",
     "current_state_stream",
     "throttled_report_stream",
 )

@@ -5,18 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# String literals, quoted names and comments in one alternation, so that a
-# comment mark inside a literal (or a quote inside a comment) is not misread.
-NOISE = (
-    r"(?s)'[^'\\]*(?:\\.[^'\\]*)*'"
-    r'|"[^"\\]*(?:\\.[^"\\]*)*"'
-    r"|`[^`]*`"
-    r"|/\*.*?\*/"
-    r"|--[^\n]*"
-)
+# Escaped characters go first (a backslash before a line break also continues a
+# comment), so that literals end at their next quote. Literals, quoted names and
+# comments are one alternation: a comment mark inside a literal is not misread.
+ESCAPED = r"(?s)\\."
+NOISE = r"(?s)'[^']*'" r'|"[^"]*"' r"|`[^`]*`" r"|/\*.*?\*/" r"|--[^\n]*"
 RESULT_QUERY = (
-    r"(?s)^(?!.*\b(?:insert\s+(?:into|overwrite)|delete\s+from|merge\s+into|update\s+\S+\s+set)\b)"
-    r"[\s(]*(?:select|with|values|from|table)\b"
+    r"(?s)^[\s(]*(?:select|with|values|from|table)\b"
+    r"(?!.*\b(?:insert\s+(?:into|overwrite)|delete\s+from|merge\s+into"
+    r"|update\s+\S+\s+set)\b)"
 )
 
 
@@ -26,5 +23,6 @@ def is_result_query(sql: Column) -> Column:
     Commands and statements that write (also behind a ``with`` or ``from``) are
     false. Nested bracket comments are not recognised.
     """
-    text = F.lower(F.regexp_replace(sql, F.lit(NOISE), F.lit(" ")))
+    plain = F.regexp_replace(sql, F.lit(ESCAPED), F.lit(""))
+    text = F.lower(F.regexp_replace(plain, F.lit(NOISE), F.lit(" ")))
     return text.rlike(RESULT_QUERY)

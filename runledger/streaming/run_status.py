@@ -78,8 +78,7 @@ def throttled_report_stream(
     heartbeat = int(heartbeat_seconds * 1_000_000)
 
     def throttle(rows: pd.DataFrame, known: tuple | None) -> tuple[pd.DataFrame, tuple]:
-        t = rows["_us"].to_numpy("int64")
-        report = rows[compare].astype("string").fillna("\0").astype(object).to_numpy()
+        t, report = rows["_us"].to_numpy(), rows["_report"].to_numpy()
         keep = np.append(True, (report[1:] != report[:-1]) | (t[1:] > t[:-1] + heartbeat))
         kept = t[0]
         if known:
@@ -93,9 +92,17 @@ def throttled_report_stream(
         keep_beats(t, keep, starts, last_kept, heartbeat)
         if keep.any():
             kept = t[keep][-1]
-        return rows[keep], (str(report[-1]), int(kept))
+        return rows[keep], (report[-1], int(kept))
 
-    return _per_run(feed, throttle, "report string, kept_us bigint", delay, forget_after_seconds)
+    # No report at all is a report of its own.
+    report = F.coalesce(F.concat(F.lit("="), F.col(compare).cast("string")), F.lit(""))
+    return _per_run(
+        feed.withColumn("_report", report),
+        throttle,
+        "report string, kept_us bigint",
+        delay,
+        forget_after_seconds,
+    ).drop("_report")
 
 
 def _per_run(
@@ -116,7 +123,8 @@ def _per_run(
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(batches)).sort_values(["_us", "seq"], ignore_index=True)
+        rows = pd.concat(list(batches), ignore_index=True)
+        rows = rows.take(np.lexsort((rows["seq"].to_numpy(), rows["_us"].to_numpy())))
         heard = max(state.getCurrentWatermarkMs(), int(rows["_us"].max()) // 1000)
         rows, known = step(rows, state.get if state.exists else None)
         state.update(known)
