@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from runledger.functions.states import known_state
 from runledger.operators.statements import (
     classify_statement,
     run_sql,
@@ -169,7 +170,7 @@ class _RunLog:
         one = self.spark.range(1, numPartitions=1).select(
             *(F.lit(entry.get(c)).cast(kind).alias(c) for c, kind in LOG_COLUMNS.items())
         )
-        one = one.withColumn("ts", F.current_timestamp())
+        one = one.withColumns({"ts": F.current_timestamp(), "state": known_state(F.col("state"))})
         if state == "SUBMITTED":
             one = stamp_run(one, self.host)
         one.write.mode("append").parquet(self.path)

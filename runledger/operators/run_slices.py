@@ -2,7 +2,7 @@
 
 Operators that look at the rows of a run in ``(ts, seq)`` order would send a run
 that holds a large part of the feed to a single task. ``cut_hot_runs`` gives
-every row a ``slice`` number: slices are contiguous in ``(ts, seq)``, number
+every row a ``run_slice`` number: slices are contiguous in ``(ts, seq)``, number
 upwards within their run and hold about ``slice_rows`` rows. Ordinary runs stay
 whole, as slice 0. An operator then works per ``(run_id, slice)`` and hands on
 what a slice has to know about the earlier ones as one small row per slice.
@@ -19,13 +19,13 @@ SLICE_ROWS = 1_000_000
 MAX_SLICES = 50_000
 MARKS_PER_SLICE = 32
 
-SLICE_KEYS = ["run_id", "slice"]
+SLICE_KEYS = ["run_id", "run_slice"]
 IN_ORDER = ["ts", "seq"]
 
 
 @dataclass(frozen=True)
 class SlicedFeed:
-    """``rows`` is the whole feed with ``slice``; ``hot`` its cut runs only.
+    """``rows`` is the whole feed with ``run_slice``; ``hot`` its cut runs only.
 
     ``hot`` is None when no run had to be cut.
     """
@@ -37,19 +37,19 @@ class SlicedFeed:
 def cut_hot_runs(
     feed: DataFrame, slice_rows: int = SLICE_ROWS, max_slices: int = MAX_SLICES
 ) -> SlicedFeed:
-    """Add ``slice``; counts rows per run first and stops there if none is hot.
+    """Add ``run_slice``; counts rows per run first and stops there if none is hot.
 
     At most about ``max_slices`` slices are made: beyond that they get longer.
     Everything broadcast here or by the callers is bounded by that number.
     """
     cuts = _find_cuts(feed.select("run_id", *IN_ORDER), slice_rows, max_slices)
     if cuts is None:
-        return SlicedFeed(feed.withColumn("slice", F.lit(0)), None)
+        return SlicedFeed(feed.withColumn("run_slice", F.lit(0)), None)
     longest = cuts.agg(F.max(F.size("cuts"))).first()[0]
-    number = _cuts_up_to(F.col("cuts"), F.struct(*IN_ORDER), longest)
+    number = _cuts_up_to(F.col("cuts"), longest)
     same_run = feed["run_id"].eqNullSafe(cuts["cut_run"])
     joined = feed.join(F.broadcast(cuts), same_run, "left")
-    rows = joined.withColumn("slice", F.when(F.col("cuts").isNull(), 0).otherwise(number))
+    rows = joined.withColumn("run_slice", F.when(F.col("cuts").isNull(), 0).otherwise(number))
     hot = rows.where(F.col("cuts").isNotNull())
     return SlicedFeed(rows.drop("cut_run", "cuts"), hot.drop("cut_run", "cuts"))
 
@@ -86,12 +86,16 @@ def _find_cuts(keys: DataFrame, slice_rows: int, max_slices: int) -> DataFrame |
     return keys.sparkSession.createDataFrame(found, schema=cuts.schema)
 
 
-def _cuts_up_to(cuts: Column, key: Column, longest: int) -> Column:
-    """How many of the sorted ``cuts`` are <= ``key``, by halving steps."""
+def _cuts_up_to(cuts: Column, longest: int) -> Column:
+    """How many of the sorted ``cuts`` are not after the row, by halving steps."""
     steps = F.array(*(F.lit(1 << b) for b in reversed(range(longest.bit_length()))))
+    ts, seq = F.col("ts"), F.col("seq")
 
     def step(found: Column, width: Column) -> Column:
         further = found + width
-        return F.when(F.get(cuts, further - 1) <= key, further).otherwise(found)
+        cut = F.get(cuts, further - 1)
+        # Field by field: several times faster here than comparing structs.
+        not_after = (cut.ts < ts) | ((cut.ts == ts) & (cut.seq <= seq))
+        return F.when(not_after, further).otherwise(found)
 
     return F.aggregate(steps, F.lit(0), step)

@@ -107,12 +107,12 @@ def running_progress(
     )
     local = cut.rows.withColumn("progress", F.max("progress").over(so_far))
     if cut.hot is None:
-        return local.drop("slice")
+        return local.drop("run_slice")
 
     # One row per slice of a hot run: what the earlier slices had reached.
     earlier = (
         Window.partitionBy("run_id")
-        .orderBy("slice")
+        .orderBy("run_slice")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     reached = (
@@ -120,15 +120,15 @@ def running_progress(
         .agg(F.max("progress").alias("top"))
         .select(
             F.col("run_id").alias("of_run"),
-            F.col("slice").alias("of_slice"),
+            F.col("run_slice").alias("of_slice"),
             F.max("top").over(earlier).alias("before"),
         )
     )
     same_slice = F.col("run_id").eqNullSafe(F.col("of_run")) & (
-        F.col("slice") == F.col("of_slice")
+        F.col("run_slice") == F.col("of_slice")
     )
     return (
         local.join(F.broadcast(reached), same_slice, "left")
         .withColumn("progress", F.greatest("progress", "before"))
-        .drop("slice", "of_run", "of_slice", "before")
+        .drop("run_slice", "of_run", "of_slice", "before")
     )

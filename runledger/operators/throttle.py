@@ -44,30 +44,23 @@ def throttled_report(
     heartbeat = int(heartbeat_seconds * 1_000_000)
     if heartbeat < 0:
         raise ValueError("heartbeat_seconds must not be negative")
-    columns = feed.columns
-    cut = cut_hot_runs(
-        feed.withColumn("_report", F.col(compare).cast("string")), slice_rows, max_slices
-    )
+    columns, report = feed.columns, compare
+    if feed.schema[compare].dataType != T.StringType():
+        report = "_report"
+        feed = feed.withColumn(report, F.col(compare).cast("string"))
+    cut = cut_hot_runs(feed, slice_rows, max_slices)
     rows = cut.rows
-    if cut.hot is None:
-        rows = rows.withColumns({name: F.lit(None).cast(t) for name, t in ENTRY.items()})
-    else:
-        entries = _slice_entries(cut.hot, heartbeat)
+    if cut.hot is not None:
+        hot = cut.hot.select(*SLICE_KEYS, *IN_ORDER, F.col(report).alias("report"))
         same_slice = F.col("run_id").eqNullSafe(F.col("of_run")) & (
-            F.col("slice") == F.col("of_slice")
+            F.col("run_slice") == F.col("of_slice")
         )
         # One row per slice, so no more than max_slices and a few.
-        rows = rows.join(F.broadcast(entries), same_slice, "left")
-    in_order = (
-        rows.select(*columns, "slice", "_report", *ENTRY)
-        .repartition(*SLICE_KEYS)
-        .sortWithinPartitions(*SLICE_KEYS, *IN_ORDER)
-    )
-    return in_order.mapInArrow(_KeepReports(columns, heartbeat), feed.schema)
-
-
-# What a slice has to know about the rows before it.
-ENTRY = {"before_report": "string", "before_us": "bigint", "kept_us": "bigint"}
+        entries = F.broadcast(_slice_entries(hot, heartbeat))
+        rows = rows.join(entries, same_slice, "left").drop("of_run", "of_slice")
+    in_order = rows.repartition(*SLICE_KEYS).sortWithinPartitions(*SLICE_KEYS, *IN_ORDER)
+    keep = _KeepReports(columns, report, heartbeat, entered=cut.hot is not None)
+    return in_order.mapInArrow(keep, feed.select(*columns).schema)
 
 
 def micros(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -109,11 +102,17 @@ def keep_beats(
 
 
 class _KeepReports:
-    """Filter for partitions sorted by slice, ts, seq; batch by batch."""
+    """Filter for partitions sorted by slice, ts, seq; batch by batch.
+
+    With ``entered``, rows have in ``entry`` what their slice has to know about
+    the rows before it: the last report and its time, and when one was last kept.
+    """
 
-    def __init__(self, columns: list[str], heartbeat: int):
+    def __init__(self, columns: list[str], report: str, heartbeat: int, entered: bool):
         self.columns = columns
+        self.report = report
         self.heartbeat = heartbeat
+        self.entered = entered
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail = None
@@ -121,78 +120,73 @@ class _KeepReports:
             if batch.num_rows == 0:
                 continue
             keep, tail = self._keep(batch, tail)
-            kept = batch.filter(pa.array(keep))
-            yield kept.select(self.columns)
+            yield batch.select(self.columns).filter(pa.array(keep))
 
     def _keep(self, batch, tail):
         t = micros(batch["ts"])
         first_batch = tail is None
-        keys = {name: batch[name] for name in (*SLICE_KEYS, "_report")}
+        keys = {name: batch[name] for name in (*SLICE_KEYS, self.report)}
         if first_batch:
             tail = {name: column.slice(0, 1) for name, column in keys.items()}
             tail.update(t=t[0], kept=0)
         before = {name: shifted(column, tail[name]) for name, column in keys.items()}
         new_slice = differs(keys["run_id"], before["run_id"])
-        new_slice |= differs(keys["slice"], before["slice"])
+        new_slice |= differs(keys["run_slice"], before["run_slice"])
         new_slice[0] |= first_batch
         before_t = np.concatenate(([tail["t"]], t[:-1]))
-        keep = differs(keys["_report"], before["_report"]) | (t > before_t + self.heartbeat)
+        report = keys[self.report]
+        keep = differs(report, before[self.report]) | (t > before_t + self.heartbeat)
 
         # A slice starts afresh, unless earlier rows of its run continue into it.
         heads = np.flatnonzero(new_slice)
-        entry = batch.take(pa.array(heads)).select(["_report", *ENTRY])
-        entered = pc.is_valid(entry["kept_us"]).to_numpy(zero_copy_only=False)
-        entry_t = pc.fill_null(entry["before_us"], 0).to_numpy(zero_copy_only=False)
-        keep[heads] = (
-            ~entered
-            | differs(entry["_report"], entry["before_report"])
-            | (t[heads] > entry_t + self.heartbeat)
-        )
+        keep[heads] = True
+        last_kept = np.where(keep, t, 0)
+        if self.entered:
+            entry = batch["entry"].take(pa.array(heads))
+            known = np.array(pc.is_valid(entry))
+            last_t, kept_t = (
+                np.array(pc.fill_null(pc.struct_field(entry, name), 0))
+                for name in ("last_us", "kept_us")
+            )
+            same = ~differs(report.take(pa.array(heads)), pc.struct_field(entry, "last_report"))
+            continues = known & same & (t[heads] <= last_t + self.heartbeat)
+            keep[heads[continues]] = False
+            last_kept[heads[continues]] = kept_t[continues]
 
         starts = np.flatnonzero(keep | new_slice)
-        if len(starts) == 0 or starts[0] != 0:
-            starts = np.concatenate(([0], starts))
-        last_kept = np.where(keep, t, 0)
-        last_kept[heads] = np.where(
-            keep[heads],
-            t[heads],
-            pc.fill_null(entry["kept_us"], 0).to_numpy(zero_copy_only=False),
-        )
         if not (keep[0] or new_slice[0]):
+            starts = np.concatenate(([0], starts))
             last_kept[0] = tail["kept"]
         keep_beats(t, keep, starts, last_kept[starts], self.heartbeat)
 
-        end = len(t) - 1
+        end, start = len(t) - 1, starts[-1]
         tail = {name: column.slice(end, 1) for name, column in keys.items()}
-        in_last = np.flatnonzero(keep[starts[-1]:])
-        kept = t[starts[-1] + in_last[-1]] if len(in_last) else last_kept[starts[-1]]
-        tail.update(t=t[end], kept=kept)
+        beats = np.flatnonzero(keep[start:])
+        tail.update(t=t[end], kept=t[start + beats[-1]] if len(beats) else last_kept[start])
         return keep, tail
 
 
 def _slice_entries(hot: DataFrame, heartbeat: int) -> DataFrame:
-    """``(of_run, of_slice, *ENTRY)`` for every slice but the first of a run."""
+    """``(of_run, of_slice, entry)`` for every slice but the first of a run."""
     run_type = hot.schema["run_id"].dataType
-    steps_schema = T.StructType(
-        [
-            T.StructField("run_id", run_type),
-            T.StructField("slice", T.IntegerType()),
-            T.StructField("first_report", T.StringType()),
-            T.StructField("first_us", T.LongType()),
-            T.StructField("last_report", T.StringType()),
-            T.StructField("last_us", T.LongType()),
-            T.StructField("at", T.LongType()),
-            T.StructField("ends", T.LongType()),
-        ]
+    steps_schema = (
+        T.StructType()
+        .add("run_id", run_type)
+        .add("run_slice", T.IntegerType())
+        .add("first_report", T.StringType())
+        .add("first_us", T.LongType())
+        .add("last_report", T.StringType())
+        .add("last_us", T.LongType())
+        .add("at", T.LongType())
+        .add("ends", T.LongType())
     )
-    entries_schema = T.StructType(
-        [
-            T.StructField("of_run", run_type),
-            T.StructField("of_slice", T.IntegerType()),
-            T.StructField("before_report", T.StringType()),
-            T.StructField("before_us", T.LongType()),
-            T.StructField("kept_us", T.LongType()),
-        ]
+    entries_schema = (
+        T.StructType()
+        .add("of_run", run_type)
+        .add("of_slice", T.IntegerType())
+        .add("last_report", T.StringType())
+        .add("last_us", T.LongType())
+        .add("kept_us", T.LongType())
     )
 
     def steps(slice_rows: pa.Table) -> pa.Table:
@@ -201,13 +195,14 @@ def _slice_entries(hot: DataFrame, heartbeat: int) -> DataFrame:
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _walk_steps(batches, heartbeat, entries_schema.names)
 
+    entry = F.struct("last_report", "last_us", "kept_us").alias("entry")
     return (
-        hot.select(*SLICE_KEYS, *IN_ORDER, "_report")
-        .groupBy(*SLICE_KEYS)
+        hot.groupBy(*SLICE_KEYS)
         .applyInArrow(steps, steps_schema)
         .repartition("run_id")
         .sortWithinPartitions(*SLICE_KEYS, "at")
         .mapInArrow(walk, entries_schema)
+        .select("of_run", "of_slice", entry)
     )
 
 
@@ -220,7 +215,7 @@ def _step_table(rows: pa.Table, heartbeat: int) -> pa.Table:
     """
     rows = rows.sort_by([(name, "ascending") for name in IN_ORDER])
     t = micros(rows["ts"])
-    report = rows["_report"].combine_chunks()
+    report = rows["report"].combine_chunks()
     sure = differs(report, shifted(report, report.slice(0, 1)))
     sure[1:] |= t[1:] > t[:-1] + heartbeat
     after_sure = np.flatnonzero(sure)
@@ -242,10 +237,10 @@ def _step_table(rows: pa.Table, heartbeat: int) -> pa.Table:
     return pa.table(
         {
             "run_id": repeat(first, "run_id"),
-            "slice": repeat(first, "slice"),
-            "first_report": repeat(first, "_report"),
+            "run_slice": repeat(first, "run_slice"),
+            "first_report": repeat(first, "report"),
             "first_us": np.full(n, t[0]),
-            "last_report": repeat(last, "_report"),
+            "last_report": repeat(last, "report"),
             "last_us": np.full(n, t[-1]),
             "at": at,
             "ends": ends,
@@ -277,13 +272,13 @@ def _walk_steps(
     for batch in batches:
         found = []
         for step in batch.to_pylist():
-            if not started or step["run_id"] != run or step["slice"] != part:
+            if not started or step["run_id"] != run or step["run_slice"] != part:
                 same_run = started and step["run_id"] == run
                 if same_run:
                     kept = kept if left is None else left
                     before = last
-                    found.append((step["run_id"], step["slice"], *before, kept))
-                started, run, part, left = True, step["run_id"], step["slice"], None
+                    found.append((step["run_id"], step["run_slice"], *before, kept))
+                started, run, part, left = True, step["run_id"], step["run_slice"], None
                 fresh = (
                     not same_run
                     or step["first_report"] != before[0]

@@ -12,6 +12,7 @@ def spark(tmp_path_factory):
             conf={
                 "spark.sql.shuffle.partitions": "4",
                 "spark.ui.enabled": "false",
+                "spark.sql.maxMetadataStringLength": "1000",
                 "spark.checkpoint.dir": str(root / "shared"),
                 "spark.sql.warehouse.dir": str(root / "warehouse"),
                 "spark.driver.memory": "6g",

@@ -55,7 +55,7 @@ def test_failure_reason(feed):
 def test_slices_are_contiguous_and_whole(feed):
     rows, df = feed
     cut = cut_hot_runs(df, slice_rows=100)
-    got = {r.seq: r.slice for r in cut.rows.collect()}
+    got = {r.seq: r.run_slice for r in cut.rows.collect()}
     assert len(got) == len(rows)
     sizes = {}
     for run, run_rows in folds.by_run(rows).items():
@@ -65,18 +65,18 @@ def test_slices_are_contiguous_and_whole(feed):
             sizes[run, number] = sizes.get((run, number), 0) + 1
     assert max(number for run, number in sizes if run == 0) >= 5
     assert max(sizes.values()) < 400
-    assert cut.hot.where("slice > 0").count() < cut.hot.count()
+    assert cut.hot.where("run_slice > 0").count() < cut.hot.count()
 
 
 def test_no_slices_without_a_hot_run(feed):
     cut = cut_hot_runs(feed[1], slice_rows=100_000)
     assert cut.hot is None
-    assert [r.slice for r in cut.rows.select("slice").distinct().collect()] == [0]
+    assert [r.run_slice for r in cut.rows.select("run_slice").distinct().collect()] == [0]
 
 
 def test_number_of_slices_is_bounded(feed):
     cut = cut_hot_runs(feed[1], slice_rows=20, max_slices=10)
-    assert cut.rows.select("run_id", "slice").distinct().count() <= 20
+    assert cut.rows.select("run_id", "run_slice").distinct().count() <= 20
 
 
 @pytest.mark.parametrize("slice_rows", [64, 300, 100_000])
