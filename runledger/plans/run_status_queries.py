@@ -20,17 +20,22 @@ from runledger.streaming.sinks import append_available, read_updates, update_ava
 DAY = 86400
 # Small enough to cut every run of the test tables, to check the cut forms too.
 TEST_SLICE_ROWS = 20
+# Of the feed per micro-batch, where one task holds the new rows of a run.
+AT_A_TIME = "256m"
 
 
 def _feed(spark: SparkSession, folder: str, two_feeds: bool = False) -> DataFrame:
     return run_status(read_table(spark, folder, "events"), two_feeds)
 
 
-def _stream(spark: SparkSession, folder: str, two_feeds: bool = False) -> DataFrame:
-    schema = read_table(spark, folder, "events").schema
+def _stream(
+    spark: SparkSession, folder: str, two_feeds: bool = False, at_a_time: str | None = None
+) -> DataFrame:
+    reader = spark.readStream.schema(read_table(spark, folder, "events").schema)
+    if at_a_time is not None:
+        reader = reader.option("maxBytesPerTrigger", at_a_time)
     # As a pattern, the path may name a single file as well as a folder of files.
-    events = spark.readStream.schema(schema).parquet(table_path(folder, "event[s]"))
-    return run_status(events, two_feeds)
+    return run_status(reader.parquet(table_path(folder, "event[s]")), two_feeds)
 
 
 def _updated(spark: SparkSession, rows: DataFrame) -> DataFrame:
@@ -60,10 +65,10 @@ def _by_update(
 
 
 def _by_append(
-    operator: Callable[[DataFrame], DataFrame], *columns: str
+    operator: Callable[[DataFrame], DataFrame], *columns: str, at_a_time: str | None = None
 ) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, folder: _appended(
-        spark, operator(_stream(spark, folder)).selectExpr(*columns)
+        spark, operator(_stream(spark, folder, at_a_time=at_a_time)).selectExpr(*columns)
     )
 
 
@@ -329,9 +334,9 @@ RUN_STATUS_QUERIES = {
         _by_update(ops.failure_reason, *_reason), FAILURE_REASON
     ),
     "running_progress_stream": Registered(
-        _by_append(streams.running_progress_stream, *_progress), RUNNING_PROGRESS
+        _by_append(streams.running_progress_stream, *_progress, at_a_time=AT_A_TIME), RUNNING_PROGRESS
     ),
     "throttled_report_stream": Registered(
-        _by_append(_throttled_stream, *_report), THROTTLED_REPORT
+        _by_append(_throttled_stream, *_report, at_a_time=AT_A_TIME), THROTTLED_REPORT
     ),
 }

@@ -127,3 +127,30 @@ def test_throttled_report_over_small_arrow_batches(spark):
             assert kept.schema == df.schema
     finally:
         spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("slice_rows", [50, 100_000])
+def test_other_types(spark, slice_rows):
+    """Text run ids, also null ones; unzoned time; a report that is a number."""
+    rows = folds.random_feed(seed=5, rows=800, hot=0.5)
+    for row in rows:
+        row["run_id"] = None if row["run_id"] == 0 else f"run {row['run_id']}"
+        row["level"] = None if row["state"] == "KILLED" else len(row["state"])
+    schema = folds.FEED_SCHEMA.replace("run_id bigint", "run_id string").replace(
+        "ts timestamp", "ts timestamp_ntz"
+    )
+    df = spark.createDataFrame(rows, f"{schema}, level int")
+    runs = folds.by_run(rows).values()
+    kept = throttled_report(df, "level", 60, slice_rows)
+    assert kept.schema == df.schema
+    want = [seq for run in runs for seq in folds.throttled(run, 60, "level")]
+    assert sorted(r.seq for r in kept.collect()) == sorted(want)
+    got = {r.seq: r.progress for r in ops.running_progress(df, slice_rows).collect()}
+    assert got == {k: v for run in runs for k, v in folds.progress(run).items()}
+
+
+def test_empty_feed(spark):
+    df = spark.createDataFrame([], folds.FEED_SCHEMA)
+    assert throttled_report(df).count() == 0
+    assert ops.running_progress(df).count() == 0
+    assert ops.reconcile_state(df).count() == 0

@@ -19,6 +19,8 @@ from runledger.sources.shared import fresh_folder
 from runledger.sources.tables import read_table, register_views
 from runledger.streaming.sinks import append_available
 
+from submit import submit
+
 # sql, is a result query, outcome. t1 is a table with customer rows, cu a view.
 STATEMENTS = [
     ("select 1+2", True, "FINISHED", None),
@@ -213,3 +215,22 @@ def test_existing_output_fails_the_run(spark):
     assert run_batch(spark, statements, log, out)[0].state == "FINISHED"
     again = run_batch(spark, statements, log, out)[0]
     assert (again.state, again.error_class) == ("FAILED", "PATH_ALREADY_EXISTS")
+
+
+def test_submit(spark, capsys):
+    base = fresh_folder(spark, "base")
+    assert submit(spark, base, "select 1+2")
+    lines = capsys.readouterr().out.splitlines()
+    assert lines[0] == "schema: struct<(1 + 2):int>"
+    path = lines[1].removeprefix("results: ")
+    assert [r.value for r in spark.read.text(path).collect()] == ["[3]"]
+    assert submit(spark, base, "describe query select 1 as v")
+    assert "[v,int,null]" in capsys.readouterr().out
+    assert not submit(spark, base, "selec 1")
+    assert "PARSEFAILED PARSE_SYNTAX_ERROR" in capsys.readouterr().out
+    states = read_run_log(spark, f"{base}/run-log").groupBy("state").count().collect()
+    assert {r.state: r["count"] for r in states} == {
+        "SUBMITTED": 3,
+        "FINISHED": 2,
+        "PARSEFAILED": 1,
+    }
