@@ -21,7 +21,7 @@ DAY = 86400
 # Small enough to cut every run of the test tables, to check the cut forms too.
 TEST_SLICE_ROWS = 20
 # Of the feed per micro-batch, where one task holds the new rows of a run.
-AT_A_TIME = "256m"
+AT_A_TIME = 256 * 1024 * 1024
 
 
 def _feed(spark: SparkSession, folder: str, two_feeds: bool = False) -> DataFrame:
@@ -29,7 +29,7 @@ def _feed(spark: SparkSession, folder: str, two_feeds: bool = False) -> DataFram
 
 
 def _stream(
-    spark: SparkSession, folder: str, two_feeds: bool = False, at_a_time: str | None = None
+    spark: SparkSession, folder: str, two_feeds: bool = False, at_a_time: int | None = None
 ) -> DataFrame:
     reader = spark.readStream.schema(read_table(spark, folder, "events").schema)
     if at_a_time is not None:
@@ -65,7 +65,7 @@ def _by_update(
 
 
 def _by_append(
-    operator: Callable[[DataFrame], DataFrame], *columns: str, at_a_time: str | None = None
+    operator: Callable[[DataFrame], DataFrame], *columns: str, at_a_time: int | None = None
 ) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, folder: _appended(
         spark, operator(_stream(spark, folder, at_a_time=at_a_time)).selectExpr(*columns)
