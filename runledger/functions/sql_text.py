@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 # Escaped characters go first (a backslash before a line break also continues a
 # comment), so that literals end at their next quote. Literals, quoted names and
 # comments are one alternation: a comment mark inside a literal is not misread.
+# The lookahead passes over all other characters in a single step each.
 ESCAPED = r"(?s)\\."
-NOISE = r"(?s)'[^']*'" r'|"[^"]*"' r"|`[^`]*`" r"|/\*.*?\*/" r"|--[^\n]*"
+NOISE = (
+    r"(?s)(?=['\"`/-])"
+    r"(?:'[^']*'" r'|"[^"]*"' r"|`[^`]*`" r"|/\*.*?\*/" r"|--[^\n]*)"
+)
 RESULT_QUERY = (
     r"(?s)^[\s(]*(?:select|with|values|from|table)\b"
     r"(?!.*\b(?:insert\s+(?:into|overwrite)|delete\s+from|merge\s+into"
