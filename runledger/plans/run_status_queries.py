@@ -14,6 +14,7 @@ from runledger.plans.registered import Registered
 from runledger.sources.run_status import run_status
 from runledger.sources.shared import fresh_folder
 from runledger.sources.tables import read_table, table_path
+from runledger.streaming import resume
 from runledger.streaming import run_status as streams
 from runledger.streaming.sinks import append_available, read_updates, update_available
 
@@ -72,6 +73,24 @@ def _by_append(
     )
 
 
+def _progress_resumed(spark: SparkSession, folder: str) -> DataFrame:
+    out = fresh_folder(spark, "resumed")
+    feed = _stream(spark, folder).select("run_id", "seq", "ts", "progress")
+    checkpoint = fresh_folder(spark, "progress")
+    resume.running_progress_available(feed, out, checkpoint).awaitTermination()
+    return resume.read_resumed(spark, out).select("run_id", "seq", "progress")
+
+
+def _throttled_resumed(spark: SparkSession, folder: str) -> DataFrame:
+    out = fresh_folder(spark, "resumed")
+    feed = _stream(spark, folder).select("run_id", "seq", "ts", "state")
+    checkpoint = fresh_folder(spark, "progress")
+    resume.throttled_report_available(
+        feed, out, checkpoint, heartbeat_seconds=DAY
+    ).awaitTermination()
+    return resume.read_resumed(spark, out).select("run_id", "seq", "state")
+
+
 def _progress_ratio(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of an order stand in for the tasks of a run."""
     counts = (
@@ -333,10 +352,13 @@ RUN_STATUS_QUERIES = {
     "failure_reason_stream": Registered(
         _by_update(ops.failure_reason, *_reason), FAILURE_REASON
     ),
-    "running_progress_stream": Registered(
-        _by_append(streams.running_progress_stream, *_progress, at_a_time=AT_A_TIME), RUNNING_PROGRESS
+    "running_progress_stream": Registered(_progress_resumed, RUNNING_PROGRESS),
+    "running_progress_keyed_stream": Registered(
+        _by_append(streams.running_progress_stream, *_progress, at_a_time=AT_A_TIME),
+        RUNNING_PROGRESS,
     ),
-    "throttled_report_stream": Registered(
+    "throttled_report_stream": Registered(_throttled_resumed, THROTTLED_REPORT),
+    "throttled_report_keyed_stream": Registered(
         _by_append(_throttled_stream, *_report, at_a_time=AT_A_TIME), THROTTLED_REPORT
     ),
 }

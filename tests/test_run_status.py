@@ -98,8 +98,9 @@ SHAPES = {
 
 
 @pytest.mark.parametrize("shape", SHAPES)
-@pytest.mark.parametrize("slice_rows", [40, 150, 100_000])
-@pytest.mark.parametrize("heartbeat", [0, 60, 5000])
+@pytest.mark.parametrize(
+    "slice_rows, heartbeat", [(40, 0), (40, 60), (150, 5000), (100_000, 60), (100_000, 5000)]
+)
 def test_throttled_report(spark, shape, slice_rows, heartbeat):
     rows = folds.random_feed(seed=heartbeat, rows=1500, hot=0.5, **SHAPES[shape])
     df = spark.createDataFrame(rows, folds.FEED_SCHEMA)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from runledger.operators import run_status as ops
 from runledger.operators.throttle import throttled_report
 from runledger.sources.shared import fresh_folder
+from runledger.streaming import resume
 from runledger.streaming import run_status as streams
 from runledger.streaming.sinks import append_available, read_updates, update_available
 
@@ -104,3 +105,39 @@ def test_runs_are_forgotten(spark, feed):
     ]
     assert sum(removed) > 0
     assert spark.read.parquet(out).where(F.col("progress") < 0).count() == 0
+
+
+def test_running_progress_resumed(spark, feed, slice_rows=40):
+    out = fresh_folder(spark, "out")
+    resume.running_progress_available(
+        stream(spark, feed), out, fresh_folder(spark, "progress"), slice_rows
+    ).awaitTermination()
+    same(resume.read_resumed(spark, out), ops.running_progress(feed[0]))
+
+
+@pytest.mark.parametrize("slice_rows, heartbeat", [(40, 20), (40, 100_000), (100_000, 20)])
+def test_throttled_report_resumed(spark, feed, slice_rows, heartbeat):
+    out = fresh_folder(spark, "out")
+    resume.throttled_report_available(
+        stream(spark, feed),
+        out,
+        fresh_folder(spark, "progress"),
+        heartbeat_seconds=heartbeat,
+        slice_rows=slice_rows,
+    ).awaitTermination()
+    same(
+        resume.read_resumed(spark, out),
+        throttled_report(feed[0], heartbeat_seconds=heartbeat),
+    )
+
+
+def test_resumed_runs_are_forgotten(spark, feed):
+    """Nothing is kept for longer than a second: few runs are known at the end."""
+    out = fresh_folder(spark, "out")
+    resume.running_progress_available(
+        stream(spark, feed), out, fresh_folder(spark, "progress"), forget_after_seconds=1
+    ).awaitTermination()
+    assert spark.read.parquet(f"{out}/known/0").count() == 6
+    kept = resume._not_forgotten(spark.read.parquet(f"{out}/known/0"), 1)
+    assert 1 <= kept.count() < 6
+    assert resume.read_resumed(spark, out).count() == feed[0].count()
