@@ -33,6 +33,7 @@ HEADLINE = (
     "running_progress",
     "throttled_report",
     "current_state_stream",
+    "running_progress_stream",
     "throttled_report_stream",
 )
 

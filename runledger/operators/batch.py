@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from runledger.functions.states import known_state
 from runledger.operators.statements import (
@@ -31,7 +32,7 @@ LOG_COLUMNS = {
     "sql": "string",
     "is_result_query": "boolean",
     "out_path": "string",
-    "schema_ddl": "string",
+    "schema_json": "string",
     "batch_id": "string",
     "submit_host": "string",
     "submitted_at": "timestamp",
@@ -48,7 +49,7 @@ class Outcome:
     reason: str | None = None
     error_class: str | None = None
     out_path: str | None = None
-    schema_ddl: str | None = None
+    schema: StructType | None = None
     result: DataFrame | None = None
 
 
@@ -118,7 +119,7 @@ def _run_statement(spark: SparkSession, row, path: str | None) -> Outcome:
         row.stmt_id,
         "FINISHED",
         out_path=path,
-        schema_ddl=result.schema.simpleString(),
+        schema=result.schema,
         result=None if path is not None else result,
     )
 
@@ -164,7 +165,7 @@ class _RunLog:
             "sql": row.sql,
             "is_result_query": row.is_result_query,
             "out_path": outcome.out_path,
-            "schema_ddl": outcome.schema_ddl,
+            "schema_json": outcome.schema.json() if outcome.schema is not None else None,
             "batch_id": self.batch_id,
         }
         one = self.spark.range(1, numPartitions=1).select(

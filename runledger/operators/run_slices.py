@@ -39,6 +39,7 @@ def cut_hot_runs(
 ) -> SlicedFeed:
     """Add ``run_slice``; counts rows per run first and stops there if none is hot.
 
+    A feed with hot runs is read several times, and has to be the same each time.
     At most about ``max_slices`` slices are made: beyond that they get longer.
     Everything broadcast here or by the callers is bounded by that number.
     """

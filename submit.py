@@ -26,7 +26,8 @@ def submit(spark: SparkSession, base: str, sql: str) -> bool:
     if outcome.state != "FINISHED":
         print(f"{outcome.state} {outcome.error_class}: {outcome.reason}")
         return False
-    print(f"schema: {outcome.schema_ddl}")
+    for field in outcome.schema:
+        print(f"column: {field.name} {field.dataType.simpleString()}")
     if outcome.out_path is not None:
         print(f"results: {outcome.out_path}")
     else:

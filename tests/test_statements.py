@@ -1,6 +1,9 @@
+import json
+
 import pytest
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from runledger.functions.row_text import row_json, row_text
 from runledger.functions.sql_text import is_result_query
@@ -171,8 +174,7 @@ def test_run_batch_outcomes(spark, batch):
         if state == "FINISHED" and is_query:
             assert outcome.out_path == unique_out_path(out, outcome.run_id)
             assert spark.read.text(outcome.out_path).count() > 0
-    ddl = outcomes[0].schema_ddl
-    assert ddl == "struct<(1 + 2):int>"
+    assert outcomes[0].schema.simpleString() == "struct<(1 + 2):int>"
     shown = [o for o, s in zip(outcomes, STATEMENTS) if s[0] == "show tables"][0]
     assert collect_rows(shown.result).where("value like '%t1%'").count() == 1
 
@@ -184,6 +186,8 @@ def test_run_batch_log(spark, batch):
     assert rows.where("state = 'SUBMITTED' and submitted_at is null").count() == 0
     got = {r.run_id: r.first_state for r in final_outcome(rows).collect()}
     assert got == {i: s[2] for i, s in enumerate(STATEMENTS)}
+    logged = rows.where("run_id = 0 and state = 'FINISHED'").first()
+    assert StructType.fromJson(json.loads(logged.schema_json)).names == ["(1 + 2)"]
     order = rows.orderBy("seq").select("run_id", "state").collect()
     for submitted, ended in zip(order[::2], order[1::2]):
         assert submitted.run_id == ended.run_id
@@ -221,7 +225,7 @@ def test_submit(spark, capsys):
     base = fresh_folder(spark, "base")
     assert submit(spark, base, "select 1+2")
     lines = capsys.readouterr().out.splitlines()
-    assert lines[0] == "schema: struct<(1 + 2):int>"
+    assert lines[0] == "column: (1 + 2) int"
     path = lines[1].removeprefix("results: ")
     assert [r.value for r in spark.read.text(path).collect()] == ["[3]"]
     assert submit(spark, base, "describe query select 1 as v")
