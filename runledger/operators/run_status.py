@@ -1,7 +1,8 @@
 """Queries over a run-status feed.
 
-A feed has ``run_id``, an order ``(ts, seq)`` with ``seq`` unique, ``src``,
-``state``, ``progress`` and ``reason``; each operator reads only what it needs.
+A feed has ``run_id``, an order ``(ts, seq)`` without nulls, ``src``, ``state``,
+``progress`` and ``reason``; each operator reads only what it needs. Rows of equal
+``(ts, seq)`` in one run have no order.
 One row per run is always a plain aggregation: it combines before the shuffle,
 so a run holding a third of the feed costs no more than any other.
 """

@@ -102,7 +102,8 @@ def _result_schema(spark: SparkSession, folder: str) -> DataFrame:
 
 def _unique_out_path(spark: SparkSession, folder: str) -> DataFrame:
     runs = run_status(read_table(spark, folder, "events")).select("run_id").distinct()
-    return runs.select("run_id", F.concat(F.lit(unique_out_path("/out", "")), "run_id").alias("path"))
+    path = F.concat(F.lit(unique_out_path("/out", "")), "run_id").alias("path")
+    return runs.select("run_id", path)
 
 
 def _run_batch(spark: SparkSession, folder: str) -> DataFrame:
@@ -127,7 +128,9 @@ def _run_batch(spark: SparkSession, folder: str) -> DataFrame:
         .agg(F.count("*").alias("n_lines"))
     )
     return ended.join(lines, "run_id", "left").select(
-        "run_id", F.col("first_state").alias("state"), F.coalesce("n_lines", F.lit(0)).alias("n_lines")
+        "run_id",
+        F.col("first_state").alias("state"),
+        F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
     )
 
 
