@@ -120,8 +120,5 @@ def _resume_available(
 
 def _not_forgotten(known: DataFrame, forget_after_seconds: int) -> DataFrame:
     """Known runs without those that were silent for long when the last was heard."""
-    latest = known.agg(F.max("heard")).first()[0]
-    if latest is None:
-        return known
-    age = F.make_interval(secs=F.lit(forget_after_seconds))
-    return known.where(F.col("heard") >= F.lit(latest).cast(known.schema["heard"].dataType) - age)
+    latest = known.agg(F.max("heard")).scalar()
+    return known.where(F.col("heard") >= latest - F.make_interval(secs=F.lit(forget_after_seconds)))
