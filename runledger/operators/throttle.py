@@ -265,30 +265,42 @@ def _walk_steps(
 ) -> Iterator[pa.RecordBatch]:
     """Go through the step tables of a run in slice order."""
     sources = (*SLICE_KEYS, "last_report", "last_us", "ends")
-    run = part = None  # the slice being read
+    current = None  # the slice being read
     before = kept = left = None  # rows before it; last kept before it and after it
     last = None  # its own last row
-    started = False
     for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        keys = [batch[name] for name in SLICE_KEYS]
+        new = np.logical_or(*(differs(key, shifted(key, key.slice(0, 1))) for key in keys))
+        new[0] = True
+        heads = np.flatnonzero(new)
+        # A single step that holds whatever came before is never too early.
+        at = np.array(pc.fill_null(batch["at"], np.iinfo(np.int64).max))
+        ends = np.array(batch["ends"])
         found = []
-        for step in batch.to_pylist():
-            if not started or step["run_id"] != run or step["run_slice"] != part:
-                same_run = started and step["run_id"] == run
+        for head, tail in zip(heads, np.append(heads[1:], len(at))):
+            step = batch.slice(head, 1).to_pylist()[0]
+            key = (step["run_id"], step["run_slice"])
+            if key != current:
+                same_run = current is not None and key[0] == current[0]
                 if same_run:
                     kept = kept if left is None else left
                     before = last
-                    found.append((step["run_id"], step["run_slice"], *before, kept))
-                started, run, part, left = True, step["run_id"], step["run_slice"], None
+                    found.append((*key, *before, kept))
                 fresh = (
                     not same_run
                     or step["first_report"] != before[0]
                     or step["first_us"] > before[1] + heartbeat
                 )
+                current, left = key, None
                 last = (step["last_report"], step["last_us"])
-            if left is None and (
-                fresh or step["at"] is None or step["at"] > kept + heartbeat
-            ):
-                left = step["ends"]
+            if left is None:
+                first = head
+                if not fresh:
+                    first += np.searchsorted(at[head:tail], kept + heartbeat, side="right")
+                if first < tail:
+                    left = int(ends[first])
         if found:
             types = [batch.schema.field(name).type for name in sources]
             columns = [pa.array(c, t) for c, t in zip(zip(*found), types)]
