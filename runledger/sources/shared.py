@@ -2,28 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_local_folders: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by ``spark.checkpoint.dir``.
+    """A folder every executor can reach.
 
-    Only a local session may go without the setting; it gets a temporary folder.
+    ``spark.checkpoint.dir`` names it; where that is unset, it lies in the
+    warehouse, which executors share as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="runledger-")
-    return _local_folders[app]
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir") + "/runledger-shared"
+    return folder.rstrip("/")
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
