@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from runledger.llm.mixing import mix, word_count
 from runledger.llm.packing import pack_documents
 from runledger.plans.registered import Registered
 from runledger.sources.tables import read_table
@@ -16,6 +17,13 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(docs, str(public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op6_entropy_balancing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "source", "text")
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("words"))
+    return mix(sized, size=F.col("words")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 LLM_QUERIES: dict[str, Registered] = {
     "op1_best_fit_packing": Registered(op1_best_fit_packing),
+    "op6_entropy_balancing": Registered(op6_entropy_balancing),
 }
