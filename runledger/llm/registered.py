@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from runledger.llm.mixing import mix, word_count
 from runledger.llm.packing import pack_documents
+from runledger.llm.quality_rules import COUNTS, judge, learn_rules
 from runledger.plans.registered import Registered
 from runledger.sources.tables import read_table
 
@@ -17,6 +18,12 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(docs, str(public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op2_learned_decision_lists(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    rules = learn_rules(docs, read_table(spark, folder, "labels"))
+    return judge(docs, rules).select("doc_id", *COUNTS, "base_failed", "kept", "rule")
+
+
 def op6_entropy_balancing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "source", "text")
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("words"))
@@ -25,5 +32,6 @@ def op6_entropy_balancing(spark: SparkSession, folder: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Registered] = {
     "op1_best_fit_packing": Registered(op1_best_fit_packing),
+    "op2_learned_decision_lists": Registered(op2_learned_decision_lists),
     "op6_entropy_balancing": Registered(op6_entropy_balancing),
 }
