@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runledger.llm.mixing import mix, word_count
+from runledger.llm.near_dedup import document_classes
 from runledger.llm.packing import pack_documents
 from runledger.llm.quality_rules import COUNTS, judge, learn_rules
 from runledger.plans.registered import Registered
@@ -24,6 +25,11 @@ def op2_learned_decision_lists(spark: SparkSession, folder: str) -> DataFrame:
     return judge(docs, rules).select("doc_id", *COUNTS, "base_failed", "kept", "rule")
 
 
+def op3_order_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return document_classes(docs).select("doc_id", "component_id", "kept")
+
+
 def op6_entropy_balancing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "source", "text")
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("words"))
@@ -33,5 +39,6 @@ def op6_entropy_balancing(spark: SparkSession, folder: str) -> DataFrame:
 LLM_QUERIES: dict[str, Registered] = {
     "op1_best_fit_packing": Registered(op1_best_fit_packing),
     "op2_learned_decision_lists": Registered(op2_learned_decision_lists),
+    "op3_order_minhash_near_dedup": Registered(op3_order_minhash_near_dedup),
     "op6_entropy_balancing": Registered(op6_entropy_balancing),
 }
