@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from runledger.llm.mixing import mix, word_count
 from runledger.llm.near_dedup import document_classes
 from runledger.llm.packing import pack_documents
+from runledger.llm import pii
 from runledger.llm.quality_rules import COUNTS, judge, learn_rules
 from runledger.plans.registered import Registered
 from runledger.sources.tables import read_table
@@ -36,9 +37,18 @@ def op6_entropy_balancing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(sized, size=F.col("words")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_skip_chain_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    found = pii.with_spans(docs, pii.train(docs))
+    counts = [F.size(F.filter("base_spans", pii.is_kind(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    base = F.sha2(pii.span_text("base_spans"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, pii.span_text("all_spans").alias("spans"))
+
+
 LLM_QUERIES: dict[str, Registered] = {
     "op1_best_fit_packing": Registered(op1_best_fit_packing),
     "op2_learned_decision_lists": Registered(op2_learned_decision_lists),
     "op3_order_minhash_near_dedup": Registered(op3_order_minhash_near_dedup),
     "op6_entropy_balancing": Registered(op6_entropy_balancing),
+    "op10_skip_chain_pii": Registered(op10_skip_chain_pii),
 }
