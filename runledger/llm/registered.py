@@ -11,6 +11,7 @@ from runledger.llm.near_dedup import document_classes
 from runledger.llm.packing import pack_documents
 from runledger.llm import pii
 from runledger.llm.quality_rules import COUNTS, judge, learn_rules
+from runledger.llm.url_filter import judged_urls
 from runledger.plans.registered import Registered
 from runledger.sources.tables import read_table
 
@@ -31,6 +32,44 @@ def op3_order_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return document_classes(docs).select("doc_id", "component_id", "kept")
 
 
+#: The rules of the registered query.
+URL_RULES = (
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+)
+
+URL_ORACLE = """
+with parts as (
+  select page_id, coalesce(regexp_extract(url, '(?s)^.*?://(.*)$', 1), '') as rest from pages
+), hosts as (
+  select page_id, rest, regexp_extract(rest, '^[^/?#]*') as raw from parts
+), places as (
+  select page_id,
+    translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') as path
+  from hosts
+), rules(r_host, r_path, r_verdict) as (
+  values ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+    ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), fits as (
+  select page_id, arg_max(r_host || r_path, length(r_host || r_path)) as rule,
+    arg_max(r_verdict, length(r_host || r_path)) as verdict
+  from places join rules on (host = r_host or ends_with(host, '.' || r_host)) and starts_with(path, r_path)
+  group by page_id
+)
+select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict
+from places left join fits using (page_id)
+"""
+
+
+def op4_url_trie(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read_table(spark, folder, "pages").select("page_id", "url")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judged_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_entropy_balancing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "source", "text")
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("words"))
@@ -49,6 +88,7 @@ LLM_QUERIES: dict[str, Registered] = {
     "op1_best_fit_packing": Registered(op1_best_fit_packing),
     "op2_learned_decision_lists": Registered(op2_learned_decision_lists),
     "op3_order_minhash_near_dedup": Registered(op3_order_minhash_near_dedup),
+    "op4_url_trie": Registered(op4_url_trie, URL_ORACLE),
     "op6_entropy_balancing": Registered(op6_entropy_balancing),
     "op10_skip_chain_pii": Registered(op10_skip_chain_pii),
 }
