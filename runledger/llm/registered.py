@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from runledger.llm.mixing import mix, word_count
 from runledger.llm.near_dedup import document_classes
 from runledger.llm.packing import pack_documents
-from runledger.llm import pii
+from runledger.llm import pii, toxicity
 from runledger.llm.quality_rules import COUNTS, judge, learn_rules
 from runledger.llm.url_filter import judged_urls
 from runledger.plans.registered import Registered
@@ -76,6 +76,13 @@ def op6_entropy_balancing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(sized, size=F.col("words")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_ordinal_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, read_table(spark, folder, "labels"))
+    scored = toxicity.with_severity(docs, model)
+    return scored.select("doc_id", "severity", "grade", (F.col("grade") > model.grades[0]).alias("toxic"))
+
+
 def op10_skip_chain_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     found = pii.with_spans(docs, pii.train(docs))
@@ -90,5 +97,6 @@ LLM_QUERIES: dict[str, Registered] = {
     "op3_order_minhash_near_dedup": Registered(op3_order_minhash_near_dedup),
     "op4_url_trie": Registered(op4_url_trie, URL_ORACLE),
     "op6_entropy_balancing": Registered(op6_entropy_balancing),
+    "op7_ordinal_toxicity": Registered(op7_ordinal_toxicity),
     "op10_skip_chain_pii": Registered(op10_skip_chain_pii),
 }
