@@ -26,9 +26,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from runledger.llm import spans
 from runledger.llm.common import slices
+from runledger.llm.spans import Span
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -38,8 +39,6 @@ MAX_TRAINING = 2_000
 #: Rounds of message passing, and the marginal from which a token is an entity.
 ROUNDS, CERTAIN = 8, 0.95
 
-Span = tuple[int, int, int]  # start, kind, end
-
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # A match never begins within a run of digits: it would have begun at the run's start.
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
@@ -70,22 +69,22 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
 
 def base_spans(text: str) -> list[Span]:
     """Matches of the patterns, in order of start, then kind."""
-    spans = [(b, 0, e) for b, e in _emails(text)]
+    found = [(b, 0, e) for b, e in _emails(text)]
     if _DIGIT.search(text):
         if "." in text:
             for m in _IP.finditer(text):
                 if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split(".")):
-                    spans.append((m.start(), 1, m.end()))
+                    found.append((m.start(), 1, m.end()))
         for m in _CARD.finditer(text):
             if m.end() - m.start() >= 12:
                 digits = m[0].replace(" ", "").replace("-", "")
                 if 12 <= len(digits) <= 19 and _luhn(digits):
-                    spans.append((m.start(), 2, m.end()))
+                    found.append((m.start(), 2, m.end()))
         if "+" in text:
             for m in _PHONE.finditer(text):
                 if 9 <= sum(map(str.isdigit, m[0])) <= 15:
-                    spans.append((m.start(), 3, m.end()))
-    return sorted(spans)
+                    found.append((m.start(), 3, m.end()))
+    return sorted(found)
 
 
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
@@ -233,11 +232,11 @@ def marginals(g: Graph, model: dict[str, np.ndarray]) -> np.ndarray:
     return p / p.sum(axis=1, keepdims=True)
 
 
-def token_labels(g: Graph, spans: list[list[Span]]) -> np.ndarray:
+def token_labels(g: Graph, base: list[list[Span]]) -> np.ndarray:
     """0 for none, else one more than the kind of the base span over the token."""
     out = np.zeros(len(g.row), int)
     for k, (i, b, e) in enumerate(zip(g.row, g.begin, g.end)):
-        for start, kind, stop in spans[i]:
+        for start, kind, stop in base[i]:
             if start < e and b < stop:
                 out[k] = kind + 1
     return out
@@ -304,39 +303,12 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int
 
 def with_spans(docs: DataFrame, model: dict | None, text: str = "text") -> DataFrame:
     """``docs`` with base_spans and all_spans, arrays of (start, kind, end) in code points."""
-    keep = [c for c in docs.columns if c.lower() not in ("base_spans", "all_spans")]
-    body = "text of it"
-    row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)])
-    held = docs.select(row.alias("row"), F.col(text).alias(body))
-    span = T.ArrayType(
-        T.StructType([T.StructField("start", T.IntegerType()), T.StructField("kind", T.StringType()), T.StructField("end", T.IntegerType())])
-    )
-    schema = T.StructType([held.schema["row"], T.StructField("base_spans", span), T.StructField("all_spans", span)])
-    arrow = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.string()), ("end", pa.int32())]))
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def listed(spans: list[list[Span]]) -> pa.Array:
-            return pa.array([[{"start": b, "kind": KINDS[k], "end": e} for b, k, e in s] for s in spans], arrow)
-
-        for batch in batches:
-            for part in slices(batch, body):
-                texts = [t or "" for t in part.column(body).to_pylist()]
-                base = [base_spans(t) for t in texts]
-                more = added_spans(texts, base, model)
-                both = [sorted(x + y) for x, y in zip(base, more)]
-                yield pa.RecordBatch.from_arrays([part.column("row"), listed(base), listed(both)], schema.names)
-
-    found = held.mapInArrow(find, schema)
-    return found.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(keep)], "base_spans", "all_spans")
-
-
-def is_kind(kind: str):
-    return lambda span: span["kind"] == kind
 
+    def find(texts: list[str]) -> tuple[list[list[Span]], list[list[Span]]]:
+        base = [base_spans(t) for t in texts]
+        return base, added_spans(texts, base, model)
 
-def span_text(spans: str):
-    """``kind:start:end`` of each span, joined by commas."""
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return spans.with_spans(docs, find, KINDS, text)
 
 
 def redacted(text: str, spans: list[Span]) -> str:

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from runledger.llm.mixing import mix, word_count
 from runledger.llm.near_dedup import document_classes
 from runledger.llm.packing import pack_documents
-from runledger.llm import pii, toxicity
+from runledger.llm import pii, secrets, toxicity
 from runledger.llm.quality_rules import COUNTS, judge, learn_rules
+from runledger.llm.spans import count_of, span_text
 from runledger.llm.url_filter import judged_urls
 from runledger.plans.registered import Registered
 from runledger.sources.tables import read_table
@@ -86,9 +87,19 @@ def op7_ordinal_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op10_skip_chain_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     found = pii.with_spans(docs, pii.train(docs))
-    counts = [F.size(F.filter("base_spans", pii.is_kind(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
-    base = F.sha2(pii.span_text("base_spans"), 256).alias("base_sha256")
-    return found.select("doc_id", *counts, base, pii.span_text("all_spans").alias("spans"))
+    return _span_digest(found, pii.KINDS)
+
+
+def op9_inferred_secret_formats(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    found = secrets.with_spans(docs, secrets.train(docs))
+    return _span_digest(found, secrets.KINDS[:3])
+
+
+def _span_digest(found: DataFrame, base_kinds: tuple[str, ...]) -> DataFrame:
+    counts = [count_of("base_spans", kind).alias(f"n_{kind}") for kind in base_kinds]
+    base = F.sha2(span_text("base_spans"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, span_text("all_spans").alias("spans"))
 
 
 LLM_QUERIES: dict[str, Registered] = {
@@ -98,5 +109,6 @@ LLM_QUERIES: dict[str, Registered] = {
     "op4_url_trie": Registered(op4_url_trie, URL_ORACLE),
     "op6_entropy_balancing": Registered(op6_entropy_balancing),
     "op7_ordinal_toxicity": Registered(op7_ordinal_toxicity),
+    "op9_inferred_secret_formats": Registered(op9_inferred_secret_formats),
     "op10_skip_chain_pii": Registered(op10_skip_chain_pii),
 }
