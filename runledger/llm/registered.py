@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from runledger.llm.lattice import vector_classes
 from runledger.llm.mixing import mix, word_count
 from runledger.llm.near_dedup import document_classes
 from runledger.llm.packing import pack_documents
@@ -71,6 +72,10 @@ def op4_url_trie(spark: SparkSession, folder: str) -> DataFrame:
     return judged_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_e8_lattice_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_classes(read_table(spark, folder, "embeddings"))
+
+
 def op6_entropy_balancing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "source", "text")
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("words"))
@@ -107,6 +112,7 @@ LLM_QUERIES: dict[str, Registered] = {
     "op2_learned_decision_lists": Registered(op2_learned_decision_lists),
     "op3_order_minhash_near_dedup": Registered(op3_order_minhash_near_dedup),
     "op4_url_trie": Registered(op4_url_trie, URL_ORACLE),
+    "op5_e8_lattice_near_dedup": Registered(op5_e8_lattice_near_dedup),
     "op6_entropy_balancing": Registered(op6_entropy_balancing),
     "op7_ordinal_toxicity": Registered(op7_ordinal_toxicity),
     "op9_inferred_secret_formats": Registered(op9_inferred_secret_formats),
