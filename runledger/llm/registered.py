@@ -13,6 +13,7 @@ from runledger.llm.packing import pack_documents
 from runledger.llm import pii, secrets, toxicity
 from runledger.llm.quality_rules import COUNTS, judge, learn_rules
 from runledger.llm.spans import count_of, span_text
+from runledger.llm.substring import without_repeats
 from runledger.llm.url_filter import judged_urls
 from runledger.plans.registered import Registered
 from runledger.sources.tables import read_table
@@ -89,6 +90,11 @@ def op7_ordinal_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "severity", "grade", (F.col("grade") > model.grades[0]).alias("toxic"))
 
 
+def op8_fixed_block_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return without_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op10_skip_chain_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     found = pii.with_spans(docs, pii.train(docs))
@@ -115,6 +121,7 @@ LLM_QUERIES: dict[str, Registered] = {
     "op5_e8_lattice_near_dedup": Registered(op5_e8_lattice_near_dedup),
     "op6_entropy_balancing": Registered(op6_entropy_balancing),
     "op7_ordinal_toxicity": Registered(op7_ordinal_toxicity),
+    "op8_fixed_block_substrings": Registered(op8_fixed_block_substrings),
     "op9_inferred_secret_formats": Registered(op9_inferred_secret_formats),
     "op10_skip_chain_pii": Registered(op10_skip_chain_pii),
 }
