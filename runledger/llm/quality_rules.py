@@ -130,8 +130,10 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         lambda a: a["n"],
     )
     repeated = F.when(F.col("placed").isNull(), 0).otherwise(covered).cast("long").alias("n_repeat_words")
-    return step.select(
-        *[F.col(f"row.c{i}").alias(c) for i, c in enumerate(keep)], *counts, repeated
+    # As rows of a generator, so that a filter on the counts does not copy their expressions into
+    # itself, where lambdas would evaluate the arrays anew for each of their items.
+    return step.select("row", F.inline(F.array(F.struct(*counts, repeated)))).select(
+        *[F.col(f"row.c{i}").alias(c) for i, c in enumerate(keep)], *COUNTS, *DETAILS
     )
 
 
