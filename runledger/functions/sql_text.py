@@ -15,7 +15,7 @@ NOISE = (
     r"(?:'[^']*'" r'|"[^"]*"' r"|`[^`]*`" r"|/\*.*?\*/" r"|--[^\n]*)"
 )
 RESULT_QUERY = (
-    r"(?s)^[\s(]*(?:select|with|values|from|table)\b"
+    r"(?s)^[\s(]*(?:select|with|values|from|table|map|reduce)\b"
     r"(?!.*\b(?:insert\s+(?:into|overwrite)|delete\s+from|merge\s+into"
     r"|update\s+\S+\s+set)\b)"
 )

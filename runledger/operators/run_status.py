@@ -36,9 +36,15 @@ def state_flags(feed: DataFrame) -> DataFrame:
 
 
 def current_state(feed: DataFrame) -> DataFrame:
-    """``(run_id, state, seq)``: the last update of every run."""
-    last = F.max(F.struct("ts", "seq", "state")).alias("last")
-    return feed.groupBy("run_id").agg(last).select("run_id", "last.state", "last.seq")
+    """``(run_id, state, seq)``: the last status of every run.
+
+    Progress messages have no state and leave it alone; a run that has sent
+    nothing else is UNKNOWN, without a ``seq``.
+    """
+    told = F.col("state").isNotNull()
+    last = F.max(F.when(told, F.struct("ts", "seq", "state"))).alias("last")
+    state = F.coalesce("last.state", F.lit("UNKNOWN")).alias("state")
+    return feed.groupBy("run_id").agg(last).select("run_id", state, "last.seq")
 
 
 def reconcile_state(feed: DataFrame) -> DataFrame:
@@ -46,12 +52,13 @@ def reconcile_state(feed: DataFrame) -> DataFrame:
 
     A RUNNING of the cluster report only counts while the run is SUBMITTED, so
     only one after the last row of any other kind can still matter. A run that
-    has nothing else is UNKNOWN.
+    has nothing else is UNKNOWN. Progress messages, without a state, take no part.
     """
+    told = F.col("state").isNotNull()
     app_running = states.is_app_running(F.col("src"), F.col("state"))
     seen = feed.groupBy("run_id").agg(
-        F.max(F.when(~app_running, F.struct("ts", "seq", "state"))).alias("base"),
-        F.max(F.when(app_running, F.struct("ts", "seq"))).alias("app"),
+        F.max(F.when(told & ~app_running, F.struct("ts", "seq", "state"))).alias("base"),
+        F.max(F.when(told & app_running, F.struct("ts", "seq"))).alias("app"),
     )
     confirmed = (F.col("base.state") == "SUBMITTED") & (
         F.col("app") > F.struct("base.ts", "base.seq")

@@ -64,7 +64,6 @@ ACCEPTANCE = {
         """
         select o.o_orderkey, o.o_orderpriority, c.c_name, c.c_mktsegment
         from orders o join customer c on o.o_custkey = c.c_custkey
-        where c.c_acctbal > 1000
         """,
     ),
     "join_left": Acceptance(

@@ -91,6 +91,12 @@ def _throttled_resumed(spark: SparkSession, folder: str) -> DataFrame:
     return resume.read_resumed(spark, out).select("run_id", "seq", "state")
 
 
+def _current_state_mixed(spark: SparkSession, folder: str) -> DataFrame:
+    state = F.when(F.col("seq") % 3 != 0, F.col("state"))
+    mixed = _feed(spark, folder).withColumn("state", state)
+    return ops.current_state(mixed).select("run_id", "state", "seq")
+
+
 def _progress_ratio(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of an order stand in for the tasks of a run."""
     counts = (
@@ -191,6 +197,16 @@ select run_id, arg_max(state, (ts, seq)) as state, arg_max(seq, (ts, seq)) as se
 from run_status group by run_id
 """
 
+# Every third row sends progress only.
+CURRENT_STATE_MIXED = FEED.rstrip() + """,
+mixed as (
+  select run_id, ts, seq, case when seq % 3 <> 0 then state end as state from run_status)
+select run_id,
+       coalesce(arg_max(state, (ts, seq)) filter (where state is not null), 'UNKNOWN') as state,
+       arg_max(seq, (ts, seq)) filter (where state is not null) as seq
+from mixed group by run_id
+"""
+
 RECONCILE_STATE = """
 with feed as (
   select event_id as seq, user_id as run_id, ts, event_type = 'view' as app_running,
@@ -318,6 +334,7 @@ _report = ("run_id", "seq", "state")
 
 RUN_STATUS_QUERIES = {
     "state_flags": Registered(_batch(ops.state_flags, *_report, *_flags), STATE_FLAGS),
+    "current_state_mixed_feed": Registered(_current_state_mixed, CURRENT_STATE_MIXED),
     "current_state": Registered(_batch(ops.current_state, *_report), CURRENT_STATE),
     "reconcile_state": Registered(
         _batch(ops.reconcile_state, "run_id", "state", two_feeds=True), RECONCILE_STATE

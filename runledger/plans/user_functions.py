@@ -21,7 +21,10 @@ def sum_squares(value: pd.Series) -> float:
     return float((value * value).sum())
 
 
-@udtf(returnType=StructType().add("word", StringType()).add("letters", IntegerType()))
+@udtf(
+    returnType=StructType().add("word", StringType()).add("letters", IntegerType()),
+    useArrow=True,
+)
 class WordLengths:
     def eval(self, text: str) -> Iterator[tuple[str, int]]:
         for word in text.split(" "):

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 TABLES = (
     "region",
@@ -29,15 +28,9 @@ def table_path(folder: str, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}.parquet"
 
 
-_schemas: dict[str, StructType] = {}
-
-
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The table; its schema is taken from the files once, its files are listed anew."""
-    path = table_path(folder, name)
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    """The table as it is now, schema and files."""
+    return spark.read.parquet(table_path(folder, name))
 
 
 def register_views(

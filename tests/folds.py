@@ -50,7 +50,7 @@ def reconcile(rows):
         if row["src"] == "app" and row["state"] == "RUNNING":
             if state == "SUBMITTED":
                 state = "RUNNING"
-        else:
+        elif row["state"] is not None:
             state = row["state"]
     return state
 
