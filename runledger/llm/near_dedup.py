@@ -14,7 +14,9 @@ A bucket never emits all its pairs. Exact copies are one node. In each round eve
 compares its members with one leader, another one in each bucket; components are formed; and
 only members that are still apart from their leader's component go on with the next leader.
 What is apart after ``LEADER_ROUNDS`` is compared pair by pair, across components only, so no
-pair that shares a bucket is lost.
+pair that shares a bucket is lost. Shingles that no other candidate has bound what a text can have
+in common with any; pairs whose bounds exclude the threshold are left out everywhere, which
+in a large group of texts with many edits each is nearly all of them.
 
 Defined cases: texts without words (null, empty, blank) link with nothing; a text of fewer
 than five words is one shingle of all of them; repeated rows are copies; a class is named by
@@ -34,11 +36,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runledger.llm.common import WORD_SPLIT, Words, mixed, slices, stored, windows
-from runledger.llm.components import components
+from runledger.llm.components import extended
 
 SHINGLE, SIMILARITY = 5, 0.8
 REPEATS, PICKS = 16, 3
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 2
 
 #: Odd multipliers, one per hash function.
 _FACTORS = mixed(np.arange(1, REPEATS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -171,6 +173,28 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     return sides.select("a", "b", "text_a", "text_b").mapInArrow(check, pairs.schema)
 
 
+def _own_shingles(texts: DataFrame) -> DataFrame:
+    """(mark, own): how many shingles of each of ``texts`` none of the others has."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                shingles, first = labelled_shingles(Words(part.column("text")))
+                lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(shingles.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column("mark"), lists], ["mark", "shingles"])
+
+    return (
+        texts.select(F.xxhash64("node").alias("mark"), "text")
+        .mapInArrow(listed, "mark long, shingles array<long>")
+        .select("mark", F.explode("shingles").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.count("*").alias("n"), F.max("mark").alias("mark"))
+        .filter("n = 1")
+        .groupBy("mark")
+        .agg(F.count("*").alias("own"))
+    )
+
+
 def document_classes(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY
 ) -> DataFrame:
@@ -188,15 +212,25 @@ def document_classes(
         .join(members.select("node").distinct(), "node", "left_semi"),
         "texts",
     )
-    close = F.least("n_a", "n_b") >= F.lit(similarity) * F.greatest("n_a", "n_b")
+    members = stored(
+        members.withColumn("mark", F.xxhash64("node"))
+        .join(_own_shingles(texts), "mark", "left")
+        .withColumn("common", F.col("shingles") - F.coalesce("own", F.lit(0)))
+        .filter(F.col("common") >= F.lit(similarity) * F.col("shingles") - 1e-9)
+        .select("node", "shingles", "common", "key"),
+        "members",
+    )
+    # At most what both have in common with others is aligned.
+    most = F.least("c_a", "c_b")
+    close = most >= F.lit(similarity) * (F.col("n_a") + F.col("n_b") - most) - 1e-9
     pair = (F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    tested = links = labels = None
+    tested = labels = None
     for round_ in range(LEADER_ROUNDS + 1):
         of = members.withColumn("label", F.col("node"))
         if labels is not None:
             of = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        left = of.select("key", F.col("node").alias("x"), F.col("shingles").alias("n_a"), F.col("label").alias("l_a"))
-        right = of.select("key", F.col("node").alias("y"), F.col("shingles").alias("n_b"), F.col("label").alias("l_b"))
+        left = of.select("key", F.col("node").alias("x"), F.col("shingles").alias("n_a"), F.col("common").alias("c_a"), F.col("label").alias("l_a"))
+        right = of.select("key", F.col("node").alias("y"), F.col("shingles").alias("n_b"), F.col("common").alias("c_b"), F.col("label").alias("l_b"))
         if round_ < LEADER_ROUNDS:
             draw = F.xxhash64("y", "key", F.lit(round_))
             least = right.groupBy("key").agg(F.min(draw).alias("draw"))
@@ -211,8 +245,8 @@ def document_classes(
         if not pairs.isEmpty():
             found = stored(verified(pairs, texts, similarity), "found")
             tested = pairs if tested is None else tested.union(pairs)
-            links = found if links is None else links.union(found)
-            labels = components(links)
+            if not found.isEmpty():
+                labels = extended(labels, found)
     if labels is None:
         labels = members.select("node", F.col("node").alias("label"))
     grouped = rows.join(labels, "node", "left").select(

@@ -26,10 +26,13 @@ def shingles(text):
 def similarity(a, b):
     place = {x: i for i, x in enumerate(b)}
     order = [place[x] for x in a if x in place]
-    best = [0] * len(order)
-    for i, p in enumerate(order):
-        best[i] = 1 + max((best[k] for k in range(i) if order[k] < p), default=0)
-    n = max(best, default=0)
+    if order == sorted(order):
+        n = len(order)
+    else:
+        best = [0] * len(order)
+        for i, p in enumerate(order):
+            best[i] = 1 + max((best[k] for k in range(i) if order[k] < p), default=0)
+        n = max(best)
     return n / (len(a) + len(b) - n)
 
 
