@@ -134,8 +134,8 @@ def _entries(docs: DataFrame, block: int, buckets: int) -> DataFrame:
 
 
 def _hits(entries: DataFrame, partitions: int) -> DataFrame:
-    """(chunk, document, print): prints that a block has and that occur twice."""
-    names = ["chunk", "document", "prints", "keys"]
+    """(chunk, documents, prints): prints that a block has and that occur twice, by chunk."""
+    names = ["chunk", "documents", "prints"]
 
     def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, blocks = None, []
@@ -143,7 +143,7 @@ def _hits(entries: DataFrame, partitions: int) -> DataFrame:
         where = None  # chunk and document of an only occurrence
 
         for batch in batches:
-            out: dict[tuple[int, int], list[np.ndarray]] = {}
+            out: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
             for bucket, kind, chunk, counts, prints in zip(*(c.to_pylist() for c in batch.columns)):
                 if kind == 2:
                     continue
@@ -170,25 +170,22 @@ def _hits(entries: DataFrame, partitions: int) -> DataFrame:
                 before = seen[at].copy()
                 twice = (before > 0) | (here[at] > 1)
                 # An occurrence that was alone until now.
-                first = np.unique(at[twice & (before == 1)])
-                for k in first:
-                    out.setdefault((int(where[k, 0]), int(where[k, 1])), []).append(index[k : k + 1])
+                for k in np.unique(at[twice & (before == 1)]):
+                    out.setdefault(int(where[k, 0]), []).append((where[k : k + 1, 1], index[k : k + 1]))
                 alone = ~twice
                 where[at[alone], 0], where[at[alone], 1] = chunk, document[alone]
                 seen[at] = np.where(twice, 2, 1)
-                found, owner = prints[mine][twice], document[twice]
-                border = np.flatnonzero(np.diff(owner)) + 1
-                if len(owner):
-                    for part, o in zip(np.split(found, border), owner[np.concatenate([[0], border])]):
-                        out.setdefault((chunk, int(o)), []).append(part)
+                if twice.any():
+                    out.setdefault(chunk, []).append((document[twice], prints[mine][twice]))
             if out:
+                pairs = [[np.concatenate(x) for x in zip(*v)] for v in out.values()]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([k[0] for k in out], pa.int64()),
-                        pa.array([k[1] for k in out], pa.int32()),
-                        pa.array([np.unique(np.concatenate(v)).tobytes() for v in out.values()], pa.binary()),
+                        pa.array(list(out), pa.int64()),
+                        pa.array([d.astype(np.int32).tobytes() for d, _ in pairs], pa.binary()),
+                        pa.array([p.tobytes() for _, p in pairs], pa.binary()),
                     ],
-                    names[:3],
+                    names,
                 )
 
     # The bucket is part of a print, so the same print of two buckets is not the same.
@@ -196,7 +193,7 @@ def _hits(entries: DataFrame, partitions: int) -> DataFrame:
         entries.filter("kind < 2")
         .repartition(partitions, "bucket")
         .sortWithinPartitions("bucket", "kind")
-        .mapInArrow(streamed, "chunk long, document int, prints binary")
+        .mapInArrow(streamed, "chunk long, documents binary, prints binary")
     )
 
 
@@ -214,19 +211,29 @@ def repeated_places(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     hits = stored(_hits(entries, partitions), "hits")
 
     def owned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per document of a chunk; a chunk is as large as the task that made it held."""
         for batch in batches:
-            keys = [
-                int(np.frombuffer(k, np.int64)[d])
-                for k, d in zip(batch.column("keys").to_pylist(), batch.column("document").to_pylist())
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), batch.column("prints")], ["key", "prints"])
+            for i in range(batch.num_rows):
+                keys = np.frombuffer(batch.column("keys")[i].as_py(), np.int64)
+                found = batch.column("found")[i].as_py()
+                document = np.concatenate([np.frombuffer(f["documents"], np.int32) for f in found])
+                prints = np.concatenate([np.frombuffer(f["prints"], np.uint32) for f in found])
+                order = np.argsort(document, kind="stable")
+                own, border = np.unique(document[order], return_index=True)
+                parts = np.split(prints[order], border[1:])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[own]), pa.array([np.unique(p).tobytes() for p in parts], pa.binary())],
+                    ["key", "prints"],
+                )
 
     owners = (
-        hits.join(heads, "chunk")
-        .select("document", "prints", "keys")
+        hits.groupBy("chunk")
+        .agg(F.collect_list(F.struct("documents", "prints")).alias("found"))
+        .join(heads, "chunk")
+        .select("found", "keys")
         .mapInArrow(owned, "key long, prints binary")
         .groupBy("key")
-        .agg(F.array_distinct(F.collect_list("prints")).alias("prints"))  # as many as its buckets
+        .agg(F.array_distinct(F.collect_list("prints")).alias("prints"))  # as many as its copies
     )
     texts = _keyed(docs.select(F.lit(0).alias("doc_id"), "text")).groupBy("key").agg(
         F.count("*").alias("n"), F.first("packed").alias("packed")
@@ -248,25 +255,38 @@ def repeated_places(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 np.add.at(cover, np.maximum(hit - (width - block), 0), 1)
                 np.add.at(cover, hit + 1, -1)
                 place = np.flatnonzero(np.cumsum(cover)[:n] > 0)
+                if not len(place):
+                    continue
+                h = windows(one, width, FIRST)[place].view(np.int64)
+                g = windows(two, width, SECOND)[place].astype(np.uint32).view(np.int32)
+                # A window that the text itself repeats is one row with all its places.
+                order = np.lexsort((place, g, h))
+                h, g, place = h[order], g[order], place[order]
+                new = np.ones(len(h), bool)
+                new[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
+                begin = np.append(np.flatnonzero(new), len(h))
+                copies = np.minimum(2, np.diff(begin) * part.column("n")[0].as_py())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(windows(one, width, FIRST)[place].view(np.int64)),
-                        pa.array(windows(two, width, SECOND)[place].astype(np.uint32).view(np.int32)),
-                        pa.array(np.full(len(place), part.column("key")[0].as_py()), pa.int64()),
-                        pa.array(place, pa.int32()),
-                        pa.array(np.full(len(place), min(2, part.column("n")[0].as_py())), pa.int32()),
+                        pa.array(h[new]),
+                        pa.array(g[new]),
+                        pa.array(np.full(len(copies), part.column("key")[0].as_py()), pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(place, pa.int32())),
+                        pa.array(copies, pa.int32()),
                     ],
-                    ["h", "g", "key", "place", "n"],
+                    ["h", "g", "key", "places", "n"],
                 )
 
     dealt = (
         texts.join(owners, "key")
-        .mapInArrow(candidates, "h long, g int, key long, place int, n int")
+        .mapInArrow(candidates, "h long, g int, key long, places array<int>, n int")
         .repartition(partitions, "h", "g")
     )
     # Both uses read the same exchange; the join streams the many rows of a common window.
     repeats = dealt.groupBy("h", "g").agg(F.sum("n").alias("all")).filter("all > 1").select("h", "g")
-    return dealt.join(repeats, ["h", "g"], "left_semi").groupBy("key").agg(F.collect_list("place").alias("places"))
+    return dealt.join(repeats, ["h", "g"], "left_semi").groupBy("key").agg(
+        F.flatten(F.collect_list("places")).alias("places")
+    )
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
