@@ -73,12 +73,13 @@ def run_batch(
     are returned as DataFrames. Each run is logged as SUBMITTED before it starts
     and with its outcome once its output is complete.
     """
-    # The texts come to the driver: each is a driver step with Spark jobs of its own.
+    # The texts come to the driver one partition at a time: each is a driver step with
+    # Spark jobs of its own.
     todo = (
         classify_statement(statements)
         .select("stmt_id", "sql", "is_result_query")
         .orderBy("stmt_id")
-        .collect()
+        .toLocalIterator()
     )
     log = _RunLog(spark, log_path)
     outcomes = []

@@ -35,15 +35,22 @@ def with_event_time(feed: DataFrame, delay: str = DELAY) -> DataFrame:
     return feed.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
 
 
-def first_arrived_outcome(feed: DataFrame, delay: str = DELAY) -> DataFrame:
+def first_arrived_outcome(feed: DataFrame, delay: str | None = None) -> DataFrame:
     """``(run_id, outcome, reason, seq, ts)``: the terminal row that arrives first.
 
-    Emits at once and forgets a run ``delay`` after its outcome. Arrival order
-    need not be event order; ``final_outcome`` in update mode follows the latter.
+    Emits at once, one row per run: the state is the id of every run that has
+    ended. With a ``delay`` a run is forgotten that long after its outcome, and
+    has another row if it ends again later. Arrival order need not be event
+    order; ``final_outcome`` in update mode follows the latter.
     """
-    ended = with_event_time(feed.where(states.is_finished(F.col("state"))), delay)
+    ended = feed.where(states.is_finished(F.col("state")))
+    ended = ended.withColumn("ts", F.col("ts").cast("timestamp"))
+    if delay is None:
+        once = ended.dropDuplicates(["run_id"])
+    else:
+        once = with_event_time(ended, delay).dropDuplicatesWithinWatermark(["run_id"])
     succeeded = states.is_succeeded(F.col("state"))
-    return ended.dropDuplicatesWithinWatermark(["run_id"]).select(
+    return once.select(
         "run_id",
         F.when(succeeded, "FINISHED").otherwise("FAILED").alias("outcome"),
         F.when(~succeeded, F.col("reason")).alias("reason"),
