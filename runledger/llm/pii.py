@@ -291,14 +291,7 @@ def added_spans(texts: list[str], base: list[list[Span]], model: dict[str, np.nd
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = MAX_TRAINING) -> dict | None:
     """A model from at most ``most`` documents that may hold personal data."""
     hint = F.col(text).rlike("@[A-Za-z0-9-]+[.]|[0-9][0-9.() -]{9,}[0-9]")
-    rows = (
-        docs.filter(hint)
-        .select(F.xxhash64(F.col(doc_id)).alias("draw"), F.md5(F.col(text)).alias("mark"), F.col(text).alias("text"))
-        .orderBy("draw", "mark")
-        .limit(most)
-        .collect()
-    )
-    return fit([r["text"] for r in rows])
+    return fit(spans.sample_texts(docs, hint, most, doc_id, text))
 
 
 def with_spans(docs: DataFrame, model: dict | None, text: str = "text") -> DataFrame:

@@ -219,14 +219,7 @@ def infer(texts: list[str]) -> Formats | None:
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = MAX_TRAINING) -> Formats | None:
     """Formats from at most ``most`` documents that may hold a credential."""
     hint = F.col(text).rlike("AKIA[A-Z0-9]{16}|[0-9a-f]{24}|(?i:passw|secret|token|api_?key)[a-z]*[\"']? *[:=]")
-    rows = (
-        docs.filter(hint)
-        .select(F.xxhash64(F.col(doc_id)).alias("draw"), F.md5(F.col(text)).alias("mark"), F.col(text).alias("text"))
-        .orderBy("draw", "mark")
-        .limit(most)
-        .collect()
-    )
-    return infer([r["text"] for r in rows])
+    return infer(spans.sample_texts(docs, hint, most, doc_id, text))
 
 
 def added_spans(text: str, base: list[Span], formats: Formats | None) -> list[Span]:

@@ -46,6 +46,20 @@ def with_spans(docs: DataFrame, find: Callable[[list[str]], Found], kinds: tuple
     return found.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(keep)], *ADDED)
 
 
+def sample_texts(docs: DataFrame, hint: Column, most: int, doc_id: str, text: str) -> list[str]:
+    """Texts of at most ``most`` documents of which ``hint`` holds, the same ones every time.
+
+    The hash of the last document chosen is found first, so that only the chosen come here.
+    """
+    draw = F.xxhash64(F.col(doc_id), F.col(text))
+    hinted = docs.filter(hint).select(draw.alias("draw"), F.col(text).alias("text"))
+    last = hinted.select("draw").distinct().orderBy("draw").limit(most).agg(F.max("draw")).first()[0]
+    if last is None:
+        return []
+    rows = hinted.filter(F.col("draw") <= last).dropDuplicates(["draw"]).collect()
+    return [r["text"] for r in sorted(rows)]
+
+
 def count_of(spans: str, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
