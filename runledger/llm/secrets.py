@@ -8,7 +8,8 @@ is scored by each automaton, against how ordinary words continue, and joins as a
 ``format`` if it is as likely as the known credentials are.
 
 Learning reads at most ``MAX_TRAINING`` documents (by hash of id) that look like they hold a
-credential; scoring covers all texts.
+credential, and uses at most ``MAX_CREDENTIALS`` of their distinct credentials of a kind (by hash
+of the value, so that all starts take part); scoring covers all texts.
 
 Defined cases: a null or empty text has no spans; repeated rows give the same spans; an empty
 table gives no rows, and without credentials to learn from, base spans only.
@@ -16,6 +17,7 @@ table gives no rows, and without credentials to learn from, base spans only.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter, defaultdict
@@ -31,7 +33,7 @@ from runledger.llm.spans import Span
 KINDS = ("assign", "access", "hex", "format")
 
 #: Documents that learning reads at most, and credentials of a kind that it uses.
-MAX_TRAINING, MAX_CREDENTIALS = 2_000, 1_000
+MAX_TRAINING, MAX_CREDENTIALS = 2_000, 5_000
 
 #: Significance of a difference between two states; length from which a run is a candidate.
 ALPHA, LEAST_LENGTH = 0.01, 16
@@ -184,6 +186,11 @@ class Formats:
         )
 
 
+def _sampled(values: Iterable[str]) -> list[str]:
+    """At most ``MAX_CREDENTIALS`` of the values, by hash: a prefix in order would lack whole classes."""
+    return sorted(sorted(values, key=lambda v: (hashlib.md5(v.encode()).digest(), v))[:MAX_CREDENTIALS])
+
+
 def infer(texts: list[str]) -> Formats | None:
     known: dict[int, set[str]] = defaultdict(set)
     pairs: dict[str, Counter] = defaultdict(Counter)
@@ -206,7 +213,7 @@ def infer(texts: list[str]) -> Formats | None:
         words[a] = {b: math.log((k + 0.01) / (n + 1)) for b, k in after.items()}
     automata, least = [], []
     for kind in sorted(known):
-        values = sorted(known[kind])[:MAX_CREDENTIALS]
+        values = _sampled(known[kind])
         if len(values) < 5:
             continue  # too few to tell a format
         automaton = Automaton(values)

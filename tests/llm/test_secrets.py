@@ -64,6 +64,20 @@ def test_formats_generalize():
     assert len(formats.automata[0].visits) > 1
 
 
+@pytest.mark.parametrize("count, bound", [(1_500, None), (1_500, 400)])
+def test_many_credentials_keep_all_starts(monkeypatch, count, bound):
+    """More credentials than fit: those used are no prefix of their order."""
+    if bound:
+        monkeypatch.setattr(secrets, "MAX_CREDENTIALS", bound)
+    rng = random.Random(4)
+    formats = secrets.infer([made(rng) for _ in range(count)])
+    root = formats.automata[0].steps[0]
+    assert root["a"] / sum(root.values()) == pytest.approx(6 / 16, abs=0.1)
+    for first in HEX:
+        short = [first + "".join(rng.choice(HEX) for _ in range(19)) for _ in range(60)]
+        assert sum(formats.fits(s) for s in short) >= 42, first
+
+
 def test_merging_leaves_few_states():
     rng = random.Random(3)
     values = ["".join(rng.choice(HEX) for _ in range(40)) for _ in range(300)]
