@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,11 +81,13 @@ def _entries(docs: DataFrame, block: int, buckets: int) -> DataFrame:
         names = ["bucket", "kind", "chunk", "counts", "prints"]
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         keys: list[int] = []
-        words_held = 0
+        words_held, task, number = 0, TaskContext.get().partitionId(), 0
 
         def chunk() -> pa.RecordBatch:
             chunk_keys = np.array(keys, np.int64).tobytes()
-            name = int.from_bytes(hashlib.md5(chunk_keys).digest()[:8], "little", signed=True)
+            # With task and number, as chunks of copies only have the same keys.
+            label = f"{task} {number} ".encode() + chunk_keys
+            name = int.from_bytes(hashlib.md5(label).digest()[:8], "little", signed=True)
             prints = np.concatenate([h[0] for h in held])
             row = np.concatenate([h[1] for h in held])
             home = np.concatenate([h[2] for h in held])
@@ -126,7 +129,7 @@ def _entries(docs: DataFrame, block: int, buckets: int) -> DataFrame:
                 words_held += len(words.begin)
                 if words_held >= CHUNK_WORDS or len(keys) >= 20_000:
                     yield chunk()
-                    held, keys, words_held = [], [], 0
+                    held, keys, words_held, number = [], [], 0, number + 1
         if keys:
             yield chunk()
 
@@ -197,6 +200,55 @@ def _hits(entries: DataFrame, partitions: int) -> DataFrame:
     )
 
 
+def _owned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per text of a chunk, copies in one; a chunk is as large as the task that made it held."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            keys, which = np.unique(np.frombuffer(batch.column("keys")[i].as_py(), np.int64), return_inverse=True)
+            found = batch.column("found")[i].as_py()
+            text = which[np.concatenate([np.frombuffer(f["documents"], np.int32) for f in found])]
+            prints = np.concatenate([np.frombuffer(f["prints"], np.uint32) for f in found])
+            order = np.argsort(text, kind="stable")
+            own, border = np.unique(text[order], return_index=True)
+            parts = np.split(prints[order], border[1:])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[own]), pa.array([np.unique(p).tobytes() for p in parts], pa.binary())],
+                ["key", "prints"],
+            )
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per key of rows in order of key: the prints of its copies, of which one set is held."""
+    now, known = None, np.zeros(0, np.uint32)
+
+    def row() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([known.tobytes()], pa.binary())], ["key", "prints"])
+
+    for batch in batches:
+        for key, prints in zip(batch.column("key").to_pylist(), batch.column("prints")):
+            prints = np.frombuffer(prints.as_buffer(), np.uint32)
+            if key == now:
+                if not np.array_equal(known, prints):
+                    known = np.union1d(known, prints)
+                continue
+            if now is not None:
+                yield row()
+            now, known = key, prints.copy()
+    if now is not None:
+        yield row()
+
+
+def _prints_of_texts(chunks: DataFrame, partitions: int) -> DataFrame:
+    """(key, prints): the hits of each text once, however many copies it has, from (found, keys) of chunks."""
+    return (
+        chunks.select("found", "keys")
+        .mapInArrow(_owned, "key long, prints binary")
+        .repartition(partitions, "key")
+        .sortWithinPartitions("key")
+        .mapInArrow(_merged, "key long, prints binary")
+    )
+
+
 def repeated_places(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(key, places): of each text, where windows begin that begin somewhere else as well.
 
@@ -210,31 +262,8 @@ def repeated_places(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     heads = entries.filter("kind = 2").select("chunk", F.col("prints").alias("keys")).dropDuplicates(["chunk"])
     hits = stored(_hits(entries, partitions), "hits")
 
-    def owned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row per document of a chunk; a chunk is as large as the task that made it held."""
-        for batch in batches:
-            for i in range(batch.num_rows):
-                keys = np.frombuffer(batch.column("keys")[i].as_py(), np.int64)
-                found = batch.column("found")[i].as_py()
-                document = np.concatenate([np.frombuffer(f["documents"], np.int32) for f in found])
-                prints = np.concatenate([np.frombuffer(f["prints"], np.uint32) for f in found])
-                order = np.argsort(document, kind="stable")
-                own, border = np.unique(document[order], return_index=True)
-                parts = np.split(prints[order], border[1:])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[own]), pa.array([np.unique(p).tobytes() for p in parts], pa.binary())],
-                    ["key", "prints"],
-                )
-
-    owners = (
-        hits.groupBy("chunk")
-        .agg(F.collect_list(F.struct("documents", "prints")).alias("found"))
-        .join(heads, "chunk")
-        .select("found", "keys")
-        .mapInArrow(owned, "key long, prints binary")
-        .groupBy("key")
-        .agg(F.array_distinct(F.collect_list("prints")).alias("prints"))  # as many as its copies
-    )
+    found = hits.groupBy("chunk").agg(F.collect_list(F.struct("documents", "prints")).alias("found"))
+    owners = _prints_of_texts(found.join(heads, "chunk"), partitions)
     texts = _keyed(docs.select(F.lit(0).alias("doc_id"), "text")).groupBy("key").agg(
         F.count("*").alias("n"), F.first("packed").alias("packed")
     )
@@ -248,7 +277,7 @@ def repeated_places(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 n = len(one) - width + 1
                 if n <= 0:
                     continue
-                known = np.unique(np.concatenate([np.frombuffer(p, np.uint32) for p in part.column("prints")[0].as_py()]))
+                known = np.frombuffer(part.column("prints")[0].as_py(), np.uint32)
                 hit = np.flatnonzero(np.isin(windows(one, block).astype(np.uint32), known))
                 # Windows that hold a hit begin up to width - block before it.
                 cover = np.zeros(len(one) + 1, np.int64)

@@ -2,6 +2,8 @@ import hashlib
 import random
 from collections import Counter
 
+import pytest
+
 from runledger.llm import substring
 from runledger.llm.registered import LLM_QUERIES
 
@@ -52,3 +54,37 @@ def test_narrow_windows_over_many_chunks(spark, monkeypatch):
     for width in (8, 9):
         got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring.without_repeats(docs, width=width).collect()}
         assert got == dict(enumerate(brute(texts, width)))
+
+
+@pytest.fixture
+def conf(spark):
+    """Sets a session setting until the test ends."""
+    before = {}
+
+    def put(key, value):
+        before[key] = spark.conf.get(key)
+        spark.conf.set(key, value)
+
+    yield put
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_many_adjacent_copies(spark, monkeypatch, conf):
+    """Chunks of copies only are told apart, and copies are one row of a chunk, not one each."""
+    monkeypatch.setattr(substring, "CHUNK_WORDS", 2_000)
+    conf("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    rng = random.Random(9)
+    copied = " ".join(f"w{rng.randrange(3000)}" for _ in range(100))
+    other = " ".join(f"v{rng.randrange(3000)}" for _ in range(60)) + " " + copied[: len(copied) // 2]
+    texts = [copied] * 600 + [other]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(1)
+    heads = substring._entries(docs, 18, 16).filter("kind = 2").select("chunk", "prints").collect()
+    assert len({h.chunk for h in heads}) == len(heads) > 20
+    found = [{"documents": b"".join(i.to_bytes(4, "little") for i in range(50)), "prints": b"abcd" * 50}]
+    chunks = [(found, bytes(8) * 50)] * 30
+    schema = "found array<struct<documents: binary, prints: binary>>, keys binary"
+    rows = substring._prints_of_texts(spark.createDataFrame(chunks, schema), 4).collect()
+    assert [(r.key, r.prints) for r in rows] == [(0, b"abcd")]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring.without_repeats(docs).collect()}
+    assert got == dict(enumerate(brute(texts)))
