@@ -74,6 +74,16 @@ def _fingerprints(words: Words, block: int) -> tuple[np.ndarray, np.ndarray, np.
     return hashes[words.first[row] + within] if len(row) else np.zeros(0, np.uint64), row, within
 
 
+def _packed_counts(counts: np.ndarray) -> bytes:
+    """The bytes of a count, 1, 2, 4 or 8 as the largest needs, then the counts."""
+    kind = np.min_scalar_type(counts.max())
+    return bytes([kind.itemsize]) + counts.astype(kind).tobytes()
+
+
+def _counts(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, f"u{packed[0]}", offset=1)
+
+
 def _entries(docs: DataFrame, block: int, buckets: int) -> DataFrame:
     """Packed rows: kind 0, the blocks of a chunk; 1, its probes; 2, its documents' keys."""
 
@@ -114,8 +124,7 @@ def _entries(docs: DataFrame, block: int, buckets: int) -> DataFrame:
                     add(b, 0, b"", blocks.tobytes())
                 keep = ~third[at]
                 if keep.any():
-                    counts = np.bincount(row[at][keep], minlength=len(keys)).astype(np.uint16)
-                    add(b, 1, counts.tobytes(), low[at][keep].tobytes())
+                    add(b, 1, _packed_counts(np.bincount(row[at][keep], minlength=len(keys))), low[at][keep].tobytes())
             add(-1, 2, b"", chunk_keys)
             types = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(rows[n], t) for n, t in zip(names, types)], names)
@@ -168,7 +177,8 @@ def _hits(entries: DataFrame, partitions: int) -> DataFrame:
                 at[at == len(index)] = 0
                 mine = np.flatnonzero(index[at] == prints)
                 at = at[mine]
-                document = np.repeat(np.arange(len(counts) // 2), np.frombuffer(counts, np.uint16))[mine]
+                counts = _counts(counts)
+                document = np.repeat(np.arange(len(counts)), counts)[mine]
                 here = np.bincount(at, minlength=0)
                 before = seen[at].copy()
                 twice = (before > 0) | (here[at] > 1)

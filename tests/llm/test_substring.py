@@ -88,3 +88,15 @@ def test_many_adjacent_copies(spark, monkeypatch, conf):
     assert [(r.key, r.prints) for r in rows] == [(0, b"abcd")]
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring.without_repeats(docs).collect()}
     assert got == dict(enumerate(brute(texts)))
+
+
+def test_long_text_in_few_buckets(spark, conf):
+    """More prints of a text in a bucket than 16 bits count."""
+    conf("spark.sql.shuffle.partitions", "1")
+    rng = random.Random(10)
+    passage = " ".join(f"p{i}" for i in range(50))
+    long = " ".join(f"w{i}" for i in range(320_000))
+    texts = ["short one", f"{long} {passage} {' '.join(f'z{i}' for i in range(100))}", f"{rng.random()} {passage} end"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(1)
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in substring.without_repeats(docs).collect()}
+    assert got == {0: (2, 0), 1: (320_150, 50), 2: (52, 50)}
