@@ -125,7 +125,7 @@ def _entries(docs: DataFrame, block: int, buckets: int) -> DataFrame:
                 keep = ~third[at]
                 if keep.any():
                     add(b, 1, _packed_counts(np.bincount(row[at][keep], minlength=len(keys))), low[at][keep].tobytes())
-            add(-1, 2, b"", chunk_keys)
+            add(name % buckets, 2, b"", chunk_keys)
             types = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(rows[n], t) for n, t in zip(names, types)], names)
 
@@ -146,8 +146,12 @@ def _entries(docs: DataFrame, block: int, buckets: int) -> DataFrame:
 
 
 def _hits(entries: DataFrame, partitions: int) -> DataFrame:
-    """(chunk, documents, prints): prints that a block has and that occur twice, by chunk."""
-    names = ["chunk", "documents", "prints"]
+    """(chunk, documents, prints, keys): prints that a block has and that occur twice, by chunk.
+
+    The keys of a chunk's documents are a row of their own, from the same run over the documents,
+    as another run may see them in another order.
+    """
+    names = ["chunk", "documents", "prints", "keys"]
 
     def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, blocks = None, []
@@ -156,8 +160,10 @@ def _hits(entries: DataFrame, partitions: int) -> DataFrame:
 
         for batch in batches:
             out: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+            heads: dict[int, bytes] = {}
             for bucket, kind, chunk, counts, prints in zip(*(c.to_pylist() for c in batch.columns)):
                 if kind == 2:
+                    heads[chunk] = prints
                     continue
                 prints = np.frombuffer(prints, np.uint32)
                 if bucket != now:
@@ -190,23 +196,24 @@ def _hits(entries: DataFrame, partitions: int) -> DataFrame:
                 seen[at] = np.where(twice, 2, 1)
                 if twice.any():
                     out.setdefault(chunk, []).append((document[twice], prints[mine][twice]))
-            if out:
+            if out or heads:
                 pairs = [[np.concatenate(x) for x in zip(*v)] for v in out.values()]
+                none = [None] * len(heads)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(list(out), pa.int64()),
-                        pa.array([d.astype(np.int32).tobytes() for d, _ in pairs], pa.binary()),
-                        pa.array([p.tobytes() for _, p in pairs], pa.binary()),
+                        pa.array([*out, *heads], pa.int64()),
+                        pa.array([d.astype(np.int32).tobytes() for d, _ in pairs] + none, pa.binary()),
+                        pa.array([p.tobytes() for _, p in pairs] + none, pa.binary()),
+                        pa.array([None] * len(pairs) + list(heads.values()), pa.binary()),
                     ],
                     names,
                 )
 
     # The bucket is part of a print, so the same print of two buckets is not the same.
     return (
-        entries.filter("kind < 2")
-        .repartition(partitions, "bucket")
+        entries.repartition(partitions, "bucket")
         .sortWithinPartitions("bucket", "kind")
-        .mapInArrow(streamed, "chunk long, documents binary, prints binary")
+        .mapInArrow(streamed, "chunk long, documents binary, prints binary, keys binary")
     )
 
 
@@ -214,7 +221,10 @@ def _owned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per text of a chunk, copies in one; a chunk is as large as the task that made it held."""
     for batch in batches:
         for i in range(batch.num_rows):
-            keys, which = np.unique(np.frombuffer(batch.column("keys")[i].as_py(), np.int64), return_inverse=True)
+            keys = batch.column("keys")[i].as_py()
+            if keys is None:
+                raise RuntimeError("hits of a chunk without its documents: a task that ran again saw them in another order")
+            keys, which = np.unique(np.frombuffer(keys, np.int64), return_inverse=True)
             found = batch.column("found")[i].as_py()
             text = which[np.concatenate([np.frombuffer(f["documents"], np.int32) for f in found])]
             prints = np.concatenate([np.frombuffer(f["prints"], np.uint32) for f in found])
@@ -269,11 +279,11 @@ def repeated_places(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = partitions * BUCKETS_PER_PARTITION
     entries = _entries(docs, block, buckets)
-    heads = entries.filter("kind = 2").select("chunk", F.col("prints").alias("keys")).dropDuplicates(["chunk"])
     hits = stored(_hits(entries, partitions), "hits")
 
-    found = hits.groupBy("chunk").agg(F.collect_list(F.struct("documents", "prints")).alias("found"))
-    owners = _prints_of_texts(found.join(heads, "chunk"), partitions)
+    pair = F.when(F.col("documents").isNotNull(), F.struct("documents", "prints"))
+    chunks = hits.groupBy("chunk").agg(F.collect_list(pair).alias("found"), F.max("keys").alias("keys"))
+    owners = _prints_of_texts(chunks.filter("size(found) > 0"), partitions)
     texts = _keyed(docs.select(F.lit(0).alias("doc_id"), "text")).groupBy("key").agg(
         F.count("*").alias("n"), F.first("packed").alias("packed")
     )

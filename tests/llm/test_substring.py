@@ -100,3 +100,24 @@ def test_long_text_in_few_buckets(spark, conf):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(1)
     got = {r.doc_id: (r.n_words, r.n_removed) for r in substring.without_repeats(docs).collect()}
     assert got == {0: (2, 0), 1: (320_150, 50), 2: (52, 50)}
+
+
+def test_order_differs_between_runs(spark):
+    """Documents that come in another order whenever they are read."""
+    rng = random.Random(12)
+    passage = " ".join(f"p{i}" for i in range(50))
+    texts = [" ".join(f"w{rng.randrange(3000)}" for _ in range(20 + i % 9)) + " " + passage for i in range(200)]
+
+    def mixed_up(batches):
+        import os
+
+        import pyarrow as pa
+
+        for batch in batches:
+            order = random.Random(os.urandom(8)).sample(range(batch.num_rows), batch.num_rows)
+            yield batch.take(pa.array(order))
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    rows = substring.without_repeats(docs.mapInArrow(mixed_up, docs.schema)).collect()
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in rows}
+    assert got == dict(enumerate(brute(texts)))
