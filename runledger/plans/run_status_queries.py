@@ -21,20 +21,15 @@ from runledger.streaming.sinks import append_available, read_updates, update_ava
 DAY = 86400
 # Small enough to cut every run of the test tables, to check the cut forms too.
 TEST_SLICE_ROWS = 20
-# Of the feed per micro-batch, where one task holds the new rows of a run.
-AT_A_TIME = 256 * 1024 * 1024
 
 
 def _feed(spark: SparkSession, folder: str, two_feeds: bool = False) -> DataFrame:
     return run_status(read_table(spark, folder, "events"), two_feeds)
 
 
-def _stream(
-    spark: SparkSession, folder: str, two_feeds: bool = False, at_a_time: int | None = None
-) -> DataFrame:
+def _stream(spark: SparkSession, folder: str, two_feeds: bool = False) -> DataFrame:
+    # The whole table is one micro-batch, whatever its size: over several, order of arrival counts.
     reader = spark.readStream.schema(read_table(spark, folder, "events").schema)
-    if at_a_time is not None:
-        reader = reader.option("maxBytesPerTrigger", at_a_time)
     # As a pattern, the path may name a single file as well as a folder of files.
     return run_status(reader.parquet(table_path(folder, "event[s]")), two_feeds)
 
@@ -66,10 +61,10 @@ def _by_update(
 
 
 def _by_append(
-    operator: Callable[[DataFrame], DataFrame], *columns: str, at_a_time: int | None = None
+    operator: Callable[[DataFrame], DataFrame], *columns: str
 ) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, folder: _appended(
-        spark, operator(_stream(spark, folder, at_a_time=at_a_time)).selectExpr(*columns)
+        spark, operator(_stream(spark, folder)).selectExpr(*columns)
     )
 
 
@@ -371,11 +366,11 @@ RUN_STATUS_QUERIES = {
     ),
     "running_progress_stream": Registered(_progress_resumed, RUNNING_PROGRESS),
     "running_progress_keyed_stream": Registered(
-        _by_append(streams.running_progress_stream, *_progress, at_a_time=AT_A_TIME),
+        _by_append(streams.running_progress_stream, *_progress),
         RUNNING_PROGRESS,
     ),
     "throttled_report_stream": Registered(_throttled_resumed, THROTTLED_REPORT),
     "throttled_report_keyed_stream": Registered(
-        _by_append(_throttled_stream, *_report, at_a_time=AT_A_TIME), THROTTLED_REPORT
+        _by_append(_throttled_stream, *_report), THROTTLED_REPORT
     ),
 }

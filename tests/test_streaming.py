@@ -1,9 +1,11 @@
 import pytest
 
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 from runledger.operators import run_status as ops
 from runledger.operators.throttle import throttled_report
+from runledger.plans.run_status_queries import RUN_STATUS_QUERIES
 from runledger.sources.shared import fresh_folder
 from runledger.streaming import resume
 from runledger.streaming import run_status as streams
@@ -141,3 +143,19 @@ def test_resumed_runs_are_forgotten(spark, feed):
     kept = resume._not_forgotten(spark.read.parquet(f"{out}/known/0"), 1)
     assert 1 <= kept.count() < 6
     assert resume.read_resumed(spark, out).count() == feed[0].count()
+
+
+@pytest.mark.parametrize("name", ["running_progress", "throttled_report"])
+def test_registered_keyed_stream_keeps_all_rows_of_unordered_files(spark, sf, monkeypatch, name):
+    """A bound on a micro-batch is made so small that each file would be one, as in a large table."""
+    folder = fresh_folder(spark, "unordered")
+    spark.read.parquet(f"{sf}/events.parquet").repartition(4).write.parquet(f"{folder}/events.parquet")
+    option = DataStreamReader.option
+
+    def smallest(self, key, value):
+        return option(self, key, 1 if key.startswith("max") else value)
+
+    monkeypatch.setattr(DataStreamReader, "option", smallest)
+    want = RUN_STATUS_QUERIES[name].run(spark, folder).collect()
+    got = RUN_STATUS_QUERIES[f"{name}_keyed_stream"].run(spark, folder).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str)
