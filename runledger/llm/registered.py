@@ -14,6 +14,7 @@ from runledger.llm import pii, secrets, toxicity
 from runledger.llm.quality_rules import COUNTS, judge, learn_rules
 from runledger.llm.spans import count_of, span_text
 from runledger.llm.substring import without_repeats
+from runledger.llm.top_products import scaled, top_products
 from runledger.llm.url_filter import judged_urls
 from runledger.plans.registered import Registered
 from runledger.sources.tables import read_table
@@ -107,6 +108,26 @@ def op9_inferred_secret_formats(spark: SparkSession, folder: str) -> DataFrame:
     return _span_digest(found, secrets.KINDS[:3])
 
 
+TOP_ORACLE = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scores as (
+  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
+  from v q join v c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id
+), ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as nth from scores
+)
+select query_id, cast(nth as int) as rank, vec_id, score from ranked where nth <= 5
+"""
+
+
+def op12_norm_bucketed_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read_table(spark, folder, "embeddings")
+    whole = vectors.select("vec_id", scaled(F.col("embedding"), 256.0).alias("vector"))
+    return top_products(whole, F.col("vec_id") % 50 == 0, k=5)
+
+
 def _span_digest(found: DataFrame, base_kinds: tuple[str, ...]) -> DataFrame:
     counts = [count_of("base_spans", kind).alias(f"n_{kind}") for kind in base_kinds]
     base = F.sha2(span_text("base_spans"), 256).alias("base_sha256")
@@ -124,4 +145,5 @@ LLM_QUERIES: dict[str, Registered] = {
     "op8_fixed_block_substrings": Registered(op8_fixed_block_substrings),
     "op9_inferred_secret_formats": Registered(op9_inferred_secret_formats),
     "op10_skip_chain_pii": Registered(op10_skip_chain_pii),
+    "op12_norm_bucketed_top_k": Registered(op12_norm_bucketed_top_k, TOP_ORACLE),
 }
