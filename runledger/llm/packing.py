@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import zlib
 from array import array
 from bisect import bisect_left, bisect_right, insort
@@ -36,15 +37,15 @@ from runledger.llm.common import slices, stored
 #: Pieces that one salt of a length holds, about, where there are many; and the least number of salts.
 SALT_ROWS, LEAST_SALTS = 100_000, 256
 
-#: Chunks of text whose ids a worker remembers, in each of two generations.
-REMEMBERED = 400_000
+#: Memory for chunks of text whose ids a worker remembers, in each of two generations: what an
+#: entry takes besides its characters and ids, the total, and the longest chunk that is remembered.
+ENTRY_BYTES, REMEMBERED_BYTES, LONGEST_REMEMBERED = 250, 32 << 20, 64
 
 #: Fixed value: how the vocabulary splits text before merging.
 SPLIT = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
-_TWO_WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+_WHITE_AFTER_SPACE = re.compile(r" \s")
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -59,39 +60,57 @@ class TokenIds(dict):
 
     No token spans a single space before a visible character, so a text is tokenized by the
     chunks between these, and the ids of common chunks are remembered. The vocabulary file is
-    read once per worker. Names of special tokens in a text are ordinary text.
+    read once per worker. Names of added tokens in a text are those tokens.
     """
 
     def __init__(self, path: str):
         super().__init__()
         with open(path, encoding="utf-8") as file:
-            vocabulary = json.load(file)["model"]["vocab"]
-        byte = _byte_of_char()
-        ranks = {bytes(byte[c] for c in token): i for token, i in vocabulary.items()}
+            loaded = json.load(file)
+        byte, vocabulary = _byte_of_char(), loaded["model"]["vocab"]
+        names = {t["content"]: t["id"] for t in loaded.get("added_tokens", [])}
+        ranks = {bytes(byte[c] for c in token): i for token, i in vocabulary.items() if token not in names}
+        self.names = {name: array("I", [i]).tobytes() for name, i in names.items()}
+        self.split = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
+        #: The bytes of each id that ordinary text has.
+        self.tokens = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            self.tokens[i] = token
         self.encoding = tiktoken.Encoding(
             "vocabulary", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}
         )
         self.older: dict[str, bytes] = {}
+        self.held = 0
 
     def __missing__(self, chunk: str) -> bytes:
         ids = self.older.get(chunk)
         if ids is None:
             ids = self._encoded(" " + chunk)
-        if len(self) >= REMEMBERED:
-            self.older = dict(self)
-            self.clear()
-        self[chunk] = ids
+        if len(chunk) <= LONGEST_REMEMBERED:
+            size = ENTRY_BYTES + len(chunk) + len(ids)
+            if self.held + size > REMEMBERED_BYTES:
+                self.older, self.held = dict(self), 0
+                self.clear()
+            self.held += size
+            self[chunk] = ids
         return ids
 
     def _encoded(self, text: str) -> bytes:
         return array("I", self.encoding.encode_ordinary(text)).tobytes()
 
-    def of(self, text: str) -> bytes:
+    def of(self, text: str, names: bool = True) -> bytes:
+        """Ids of a text; without ``names`` those of added tokens are ordinary text too."""
+        if names and self.split and self.split.search(text):
+            parts = self.split.split(text)
+            return b"".join(self.names.get(part) or self._ordinary(part) for part in parts if part)
+        return self._ordinary(text)
+
+    def _ordinary(self, text: str) -> bytes:
         chunks = text.split(" ")
-        if "" in chunks[1:] or any(two in text for two in _TWO_WHITE):
+        if text.endswith(" ") or _WHITE_AFTER_SPACE.search(text):
             joined = chunks[:1]
             for chunk in chunks[1:]:
-                if chunk == "" or chunk[0] in WHITE:
+                if chunk == "" or chunk[0].isspace():
                     joined[-1] += " " + chunk
                 else:
                     joined.append(chunk)

@@ -14,6 +14,7 @@ from runledger.llm import pii, secrets, toxicity
 from runledger.llm.quality_rules import COUNTS, judge, learn_rules
 from runledger.llm.spans import count_of, span_text
 from runledger.llm.substring import without_repeats
+from runledger.llm.token_alignment import align_documents
 from runledger.llm.top_products import scaled, top_products
 from runledger.llm.url_filter import judged_urls
 from runledger.plans.registered import Registered
@@ -108,6 +109,12 @@ def op9_inferred_secret_formats(spark: SparkSession, folder: str) -> DataFrame:
     return _span_digest(found, secrets.KINDS[:3])
 
 
+def op11_distinct_text_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    vocabularies = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align_documents(docs, *map(str, vocabularies))
+
+
 TOP_ORACLE = """
 with v as (
   select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v from embeddings
@@ -145,5 +152,6 @@ LLM_QUERIES: dict[str, Registered] = {
     "op8_fixed_block_substrings": Registered(op8_fixed_block_substrings),
     "op9_inferred_secret_formats": Registered(op9_inferred_secret_formats),
     "op10_skip_chain_pii": Registered(op10_skip_chain_pii),
+    "op11_distinct_text_alignment": Registered(op11_distinct_text_alignment),
     "op12_norm_bucketed_top_k": Registered(op12_norm_bucketed_top_k, TOP_ORACLE),
 }

@@ -16,9 +16,7 @@ PATH = str(public_tokenizers.path("byte_bpe_50k.json"))
 
 @functools.cache
 def tokenizer():
-    loaded = Tokenizer.from_file(PATH)
-    loaded.encode_special_tokens = True
-    return loaded
+    return Tokenizer.from_file(PATH)
 
 
 def brute_ids(text):
@@ -62,14 +60,30 @@ def test_plan_of_common_lengths():
 
 @pytest.mark.parametrize(
     "text",
-    ["", " ", "a", "  a  b ", "a\n b", "a \n b", "don't  x  y", "é ü　 z  q", "<|endoftext|> x <|endoftext|>", "\x1c a \x1c", "a\r\n\r\n  b\t c", "x" * 5000, "12 3.4 ½ ²"],
+    ["", " ", "a", "  a  b ", "a\n b", "a \n b", "don't  x  y", "é ü　 z  q", "<|endoftext|> x <|endoftext|>", "a <|endoftext|>b <|endoftext|>  <|endo", "<|endoftext|><|endoftext|>", "\x1c a \x1c", "a\r\n\r\n  b\t c", "x" * 5000, "12 3.4 ½ ²"],
 )
 def test_token_ids(text):
     assert packing.token_ids(PATH).of(text) == array("I", brute_ids(text)[:-1]).tobytes()
 
 
+def test_names_as_ordinary_text():
+    loaded = Tokenizer.from_file(PATH)
+    loaded.encode_special_tokens = True
+    text = "a <|endoftext|> b"
+    assert packing.token_ids(PATH).of(text, names=False) == array("I", loaded.encode(text, add_special_tokens=False).ids).tobytes()
+
+
+def test_memory_is_bounded():
+    ids = packing.TokenIds(PATH)
+    ids.of("a " + "long" * 500)
+    for i in range(150):
+        ids.of(" ".join(f"w{i * 1000 + k}" for k in range(1000)))
+    held = sum(packing.ENTRY_BYTES + len(k) + len(v) for part in (ids, ids.older) for k, v in part.items())
+    assert held <= 2 * packing.REMEMBERED_BYTES and len(ids.older) > 0
+
+
 def test_forgets_but_stays_right(monkeypatch):
-    monkeypatch.setattr(packing, "REMEMBERED", 3)
+    monkeypatch.setattr(packing, "REMEMBERED_BYTES", 3 * packing.ENTRY_BYTES + 50)
     ids = packing.TokenIds(PATH)
     text = "one two three four five one two six one seven two"
     for _ in range(3):
