@@ -52,8 +52,9 @@ PIECE_SPACE = "▁"
 
 #: Memory for chunks that a worker remembers, in each of two generations: what an entry takes
 #: besides its key, groups and links, the total, and the longest chunk that is remembered.
-ENTRY_BYTES, REMEMBERED_BYTES, LONGEST_REMEMBERED = 400, 64 << 20, 64
+ENTRY_BYTES, REMEMBERED_BYTES, LONGEST_REMEMBERED = 330, 128 << 20, 64
 
+_WHITE = re.compile(r"\s")
 _WHITE_AFTER_SPACE = re.compile(r" \s")
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 
@@ -87,7 +88,9 @@ class Aligner(dict):
         self.held = 0
 
     def __missing__(self, chunk: str) -> Chunk:
-        found = self.older[chunk] if chunk in self.older else self.aligned(chunk)
+        return self._kept(chunk, self.older[chunk] if chunk in self.older else self.aligned(chunk))
+
+    def _kept(self, chunk: str, found: Chunk) -> Chunk:
         if len(chunk) <= LONGEST_REMEMBERED:
             size = ENTRY_BYTES + len(chunk) + (len(found[1]) + len(found[2]) if found else 0)
             if self.held + size > REMEMBERED_BYTES:
@@ -97,6 +100,39 @@ class Aligner(dict):
             self[chunk] = found
         return found
 
+    def learn(self, chunks: set[str]) -> None:
+        """Align the new ones of ``chunks`` that have no white space, all at once."""
+        new = [c for c in chunks if c not in self and c not in self.older and c and not _WHITE.search(c)]
+        whole = (" " + " ".join(new)).encode("utf-8", "surrogatepass")
+        if not new or not self.b.by_chunk:
+            return
+        a = np.array(self.a.encoding.encode_ordinary(" " + " ".join(new)))
+        b = np.array(self.b.model.encode(" ".join(new), num_threads=1))
+        a_tokens, b_tokens = ([v.tokens[i] for i in ids.tolist()] for v, ids in ((self.a, a), (self.b, b)))
+        if b"".join(a_tokens) != whole or b"".join(b_tokens) != whole:
+            return  # one by one then
+        a_ends, b_ends = (np.cumsum([len(t) for t in tokens]) for tokens in (a_tokens, b_tokens))
+        common, ends = np.intersect1d(a_ends, b_ends, assume_unique=True), np.union1d(a_ends, b_ends)
+        links = (a[np.searchsorted(a_ends, ends)] * self.n_b + b[np.searchsorted(b_ends, ends)]).astype(np.int64)
+        # In a group the tokens of A come first: a token stands after those of its own kind before
+        # it and those of the other kind that earlier groups, for B its own too, have.
+        a_group, b_group = np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
+        named = np.empty(len(a) + len(b), object)
+        for own, at, last, end in (
+            (a, np.searchsorted(b_group, a_group), common[a_group] == a_ends, "|"),
+            (b, np.searchsorted(a_group, b_group, "right"), common[b_group] == b_ends, ";"),
+        ):
+            names = [f"{i}{end}" if e else f"{i}," for i, e in zip(own.tolist(), last.tolist())]
+            named[np.arange(len(own)) + at] = names
+        chunk_ends = np.cumsum([len(c.encode("utf-8", "surrogatepass")) + 1 for c in new])
+        to_a, to_b, to_link = (np.searchsorted(x, chunk_ends, "right").tolist() for x in (a_ends, b_ends, ends))
+        named, links = named.tolist(), links.tobytes()
+        from_a = from_b = from_link = 0
+        for chunk, n_a, n_b, n_link in zip(new, to_a, to_b, to_link):
+            groups = "".join(named[from_a + from_b : n_a + n_b])[:-1]
+            self._kept(chunk, (n_a - from_a, groups, links[8 * from_link : 8 * n_link]))
+            from_a, from_b, from_link = n_a, n_b, n_link
+
     def aligned(self, chunk: str) -> Chunk:
         """What a chunk without the space before it gives, of which A is told and B is not."""
         whole = (" " + chunk).encode("utf-8", "surrogatepass")
@@ -133,13 +169,19 @@ class Aligner(dict):
             parts[-2:] = [parts[-2] + " "]
         return [part[1:] for part in parts]
 
-    def text(self, text: str | None) -> Chunk:
-        """The same for a whole text."""
-        found = list(map(self.__getitem__, self.chunks(text))) if text else [None]
-        if None in found:
-            return None
-        counts, groups, links = zip(*found)
-        return sum(counts), ";".join(groups), b"".join(links)
+    def texts(self, texts: list[str | None]) -> list[Chunk]:
+        """The same for whole texts."""
+        chunked = [self.chunks(text) if text else [] for text in texts]
+        self.learn(set().union(*chunked))
+        out = []
+        for chunks in chunked:
+            found = list(map(self.__getitem__, chunks))
+            if not found or None in found:
+                out.append(None)
+                continue
+            counts, groups, links = zip(*found)
+            out.append((sum(counts), ";".join(groups), b"".join(links)))
+        return out
 
 
 @functools.lru_cache(maxsize=2)
@@ -174,7 +216,7 @@ def aligned_texts(texts: DataFrame, byte_path: str, piece_path: str, with_groups
         own = aligner(byte_path, piece_path)
         for batch in batches:
             for part in slices(batch, "text"):
-                rows = [own.text(t) or (0, "", b"") for t in part.column("text").to_pylist()]
+                rows = [found or (0, "", b"") for found in own.texts(part.column("text").to_pylist())]
                 n_a, groups, links = (np.array([r[0] for r in rows]), [r[1] for r in rows], [r[2] for r in rows])
                 n_groups = np.array([g.count(";") + 1 if g else 0 for g in groups])
                 n_links = np.array([len(x) // 8 for x in links])

@@ -53,11 +53,16 @@ def brute_text(text):
             links.append((a_ids[i], b_ids[k]))
             k += 1
     common = sorted({e for _, e in ra} & {e for _, e in rb})
-    groups, begin = [], 0
+    groups = []
+    left = [list(zip(ids, (e for _, e in rs)))[::-1] for ids, rs in ((a_ids, ra), (b_ids, rb))]
     for end in common:
-        parts = [",".join(str(i) for i, (x, y) in zip(ids, rs) if begin < y <= end) for ids, rs in ((a_ids, ra), (b_ids, rb))]
+        parts = []
+        for stack in left:
+            own = []
+            while stack and stack[-1][1] <= end:
+                own.append(str(stack.pop()[0]))
+            parts.append(",".join(own))
         groups.append("|".join(parts))
-        begin = end
     return len(a_ids), len(b_ids), groups, links
 
 
@@ -117,7 +122,7 @@ def test_remembers_little(monkeypatch):
     own = t.Aligner(A_PATH, B_PATH)
     text = "one two three four five one two six one seven two"
     for _ in range(3):
-        n_a, groups, links = own.text(text)
+        n_a, groups, links = own.texts([text])[0]
         want = brute_text(text)
         assert (n_a, groups.split(";"), len(links) // 8) == (want[0], want[2], len(want[3]))
 
@@ -126,4 +131,12 @@ def test_a_piece_across_a_space_asks_for_whole_texts():
     own = t.Aligner(A_PATH, B_PATH)
     assert own.b.by_chunk
     own.b.by_chunk = False
-    assert own.text("a b  c ") == t.Aligner(A_PATH, B_PATH).text("a b  c ")
+    assert own.texts(["a b  c "]) == t.Aligner(A_PATH, B_PATH).texts(["a b  c "])
+
+
+def test_all_at_once_or_one_by_one():
+    together, alone = t.Aligner(A_PATH, B_PATH), t.Aligner(A_PATH, B_PATH)
+    alone.learn = lambda chunks: None
+    texts = [text for text in TEXTS if text != "has ▁ sign" and text != "one▁"]
+    assert together.texts(texts) == alone.texts(texts)
+    assert together.texts(TEXTS) == alone.texts(TEXTS)
