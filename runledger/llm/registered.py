@@ -11,6 +11,7 @@ from runledger.llm.mixing import mix, word_count
 from runledger.llm.near_dedup import document_classes
 from runledger.llm.packing import pack_documents
 from runledger.llm import pii, secrets, toxicity
+from runledger.llm.prefix_trie import conversation_trie
 from runledger.llm.quality_rules import COUNTS, judge, learn_rules
 from runledger.llm.spans import count_of, span_text
 from runledger.llm.substring import without_repeats
@@ -135,6 +136,53 @@ def op12_norm_bucketed_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_products(whole, F.col("vec_id") % 50 == 0, k=5)
 
 
+#: The first h turns of conversation c - c % 20, h = CRC-32 of c's digits % 4, then c's own; nodes are
+#: lists of turns, and a node lies below another if it begins with it.
+TRIE_ORACLE = r"""
+with own as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first) - 1 as pos
+  from conversations where conv_id is not null
+), convs as (
+  select conv_id, count(*) as n, xor(list_reduce(
+      list_concat([4294967295::bigint], list_transform(string_split(conv_id::varchar, ''), lambda d: ascii(d)::bigint)),
+      lambda crc, byte: list_reduce(
+        list_concat([xor(crc, byte)], [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+        lambda x, _: case when x % 2 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)
+    ), 4294967295) % 4 as h
+  from own group by conv_id
+), rebuilt as (
+  select c.conv_id, 0 as part, b.pos, b.role, b.text
+  from convs c join own b on b.conv_id = c.conv_id - c.conv_id % 20 and b.pos < c.h
+  union all
+  select c.conv_id, 1, o.pos, o.role, o.text from convs c join own o on o.conv_id = c.conv_id and o.pos >= c.h
+), whole as (
+  select c.conv_id, coalesce(list({'role': role, 'text': text} order by part, pos) filter (where r.conv_id is not null), []) as turns
+  from convs c left join rebuilt r on r.conv_id = c.conv_id group by c.conv_id
+), members as (
+  select conv_id, len(turns) as size, unnest(range(0, len(turns) + 1)) as depth, turns from whole
+), nodes as (
+  select depth, turns[1:depth] as node, min(conv_id) as conv_id, count(*) as n_convs,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where size = depth), '')) as ends_sha256
+  from members group by 1, 2
+), measured as (
+  select *, (select count(*) from nodes c where c.depth = n.depth + 1 and c.node[1:n.depth] = n.node) as n_children,
+    case when depth = 0 then 0 else (n_convs - 1) * len(list_filter(
+      string_split_regex(node[depth].text, '[\x20\x09-\x0D]+'), lambda w: w <> '')) end as saved
+  from nodes n
+)
+select m.conv_id, cast(m.depth as bigint) as depth, p.conv_id as parent_conv_id, m.n_convs, m.n_children,
+  (select count(*) from measured b where b.n_children = 0 and b.depth >= m.depth and b.node[1:m.depth] = m.node) as n_leaves,
+  (select cast(sum(b.saved) as bigint) from measured b where b.depth >= m.depth and b.node[1:m.depth] = m.node) as saved_tokens,
+  m.ends_sha256
+from measured m left join nodes p on p.depth = m.depth - 1 and p.node = m.node[1:m.depth - 1]
+"""
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie(read_table(spark, folder, "conversations"))
+
+
 def _span_digest(found: DataFrame, base_kinds: tuple[str, ...]) -> DataFrame:
     counts = [count_of("base_spans", kind).alias(f"n_{kind}") for kind in base_kinds]
     base = F.sha2(span_text("base_spans"), 256).alias("base_sha256")
@@ -154,4 +202,5 @@ LLM_QUERIES: dict[str, Registered] = {
     "op10_skip_chain_pii": Registered(op10_skip_chain_pii),
     "op11_distinct_text_alignment": Registered(op11_distinct_text_alignment),
     "op12_norm_bucketed_top_k": Registered(op12_norm_bucketed_top_k, TOP_ORACLE),
+    "op13_prefix_trie": Registered(op13_prefix_trie, TRIE_ORACLE),
 }
