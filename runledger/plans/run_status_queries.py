@@ -11,12 +11,19 @@ from runledger.functions import states
 from runledger.operators import run_status as ops
 from runledger.operators.throttle import throttled_report
 from runledger.plans.registered import Registered
-from runledger.sources.run_status import run_status
+from runledger.operators.run_summary import run_events, run_summary, summarised, told
+from runledger.sources.run_status import mixed_status, run_status
 from runledger.sources.shared import fresh_folder
 from runledger.sources.tables import read_table, table_path
-from runledger.streaming import resume
+from runledger.streaming import late_rows, resume
 from runledger.streaming import run_status as streams
-from runledger.streaming.sinks import append_available, read_updates, update_available
+from runledger.streaming.sinks import (
+    append_available,
+    read_summaries,
+    read_updates,
+    summaries_available,
+    update_available,
+)
 
 DAY = 86400
 # Small enough to cut every run of the test tables, to check the cut forms too.
@@ -168,6 +175,45 @@ def _throttled_stream(feed: DataFrame) -> DataFrame:
     return streams.throttled_report_stream(rows, "state", DAY)
 
 
+def _unordered(spark: SparkSession, folder: str) -> DataFrame:
+    """The events as a stream of four files, each with rows from all times, one per micro-batch."""
+    events, copy = read_table(spark, folder, "events"), fresh_folder(spark, "unordered")
+    part = F.pmod(F.xxhash64("event_id"), F.lit(4)).cast("int")
+    for i in range(4):
+        events.filter(part == i).coalesce(1).write.mode("append").parquet(copy)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(copy)
+
+
+def _run_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return run_summary(mixed_status(read_table(spark, folder, "events")))
+
+
+def _run_summary_updated(spark: SparkSession, folder: str) -> DataFrame:
+    events = run_events(mixed_status(_unordered(spark, folder)))
+    return told(_updated(spark, summarised(events)))
+
+
+def _run_summary_merged(spark: SparkSession, folder: str) -> DataFrame:
+    out = fresh_folder(spark, "summaries")
+    events = run_events(mixed_status(_unordered(spark, folder)))
+    summaries_available(events, out, fresh_folder(spark, "progress")).awaitTermination()
+    return told(read_summaries(spark, out))
+
+
+def _progress_late(spark: SparkSession, folder: str) -> DataFrame:
+    out, feed = fresh_folder(spark, "late"), run_status(_unordered(spark, folder))
+    late_rows.running_progress_changes(feed, out, fresh_folder(spark, "progress")).awaitTermination()
+    return late_rows.read_changes(spark, out).select("run_id", "seq", "progress")
+
+
+def _throttled_late(spark: SparkSession, folder: str) -> DataFrame:
+    out, feed = fresh_folder(spark, "late"), run_status(_unordered(spark, folder))
+    late_rows.throttled_report_changes(
+        feed, out, fresh_folder(spark, "progress"), heartbeat_seconds=DAY
+    ).awaitTermination()
+    return late_rows.read_changes(spark, out).select("run_id", "seq", "state")
+
+
 FEED = """
 with run_status as (
   select event_id as seq, user_id as run_id, ts, value as progress,
@@ -321,6 +367,59 @@ select run_id, seq,
 from run_status
 """
 
+# The feed read row by row: a message, a report or a loss after the other changes what is known.
+RUN_SUMMARY = """
+with recursive feed as (
+  select event_id as seq, user_id as run_id, value as v, event_type as e, concat('app_', user_id) as app,
+         row_number() over (partition by user_id order by ts, event_id) as nth
+  from events),
+said as (
+  select run_id, nth, seq,
+         case when e = 'view' then 'app' when e = 'error' and v < 1.5 then 'lost' else 'query' end as src,
+         case when e = 'view' and (v < 0.5 or v > 250) then 'FAILED'
+              when e = 'view' and (v < 1 or v > 220) then 'KILLED'
+              when e = 'view' and v < 1.5 then 'FINISHED' when e = 'view' and v < 60 then 'RUNNING'
+              when e = 'signup' or e = 'click' and v <= 60 then 'SUBMITTED' when e = 'click' then 'LAUNCHING'
+              when e = 'purchase' and v < 1 then 'FINISHED' when e = 'purchase' and v < 1.5 then 'PARSEFAILED'
+              when e = 'purchase' then 'RUNNING' when e = 'error' and v between 1.5 and 2.9999999 then 'FAILED' end as said,
+         app, concat('boom ', seq) as boom,
+         concat(app, ' Driver node-', run_id % 7, ':7077 disassociated!') as gone
+  from feed),
+steps as (
+  select run_id, nth, seq, src, said, gone, app,
+         case when src = 'app' and said in ('FAILED', 'KILLED') then concat('Job ', app, ' ', said, '.')
+              when src = 'query' and said = 'FAILED' then boom end as why,
+         src = 'lost' or said in ('FAILED', 'KILLED', 'FINISHED', 'PARSEFAILED') as ends
+  from said),
+walk as (
+  select run_id, cast(0 as bigint) as nth, 'UNKNOWN' as state, cast(null as varchar) as reason, false as app_over,
+         cast(null as varchar) as outcome, cast(null as varchar) as outcome_reason,
+         cast(null as varchar) as outcome_src, cast(null as bigint) as outcome_seq
+  from feed group by run_id
+  union all
+  select w.run_id, s.nth,
+         case when s.src = 'query' and s.said is not null then s.said
+              when s.src = 'app' and not w.app_over and s.said in ('FAILED', 'KILLED') then 'FAILED'
+              when s.src = 'app' and not w.app_over and s.said = 'FINISHED' then 'FINISHED'
+              when s.src = 'app' and not w.app_over and s.said = 'RUNNING' and w.state = 'SUBMITTED' then 'RUNNING'
+              else w.state end,
+         case when s.src = 'lost' then coalesce(w.reason, s.gone)
+              when s.src = 'query' or not w.app_over then coalesce(s.why, w.reason) else w.reason end,
+         w.app_over or (s.src = 'app' and coalesce(s.ends, false)),
+         case when w.outcome is not null or not coalesce(s.ends, false) or (s.src = 'app' and w.app_over) then w.outcome
+              when s.src <> 'lost' and s.said = 'FINISHED' then 'FINISHED' else 'FAILED' end,
+         case when w.outcome is not null or not coalesce(s.ends, false) or (s.src = 'app' and w.app_over) then w.outcome_reason
+              when s.src = 'lost' then coalesce(w.reason, s.gone) else s.why end,
+         case when w.outcome is not null or not coalesce(s.ends, false) or (s.src = 'app' and w.app_over) then w.outcome_src
+              else s.src end,
+         case when w.outcome is not null or not coalesce(s.ends, false) or (s.src = 'app' and w.app_over) then w.outcome_seq
+              else s.seq end
+  from walk w join steps s on s.run_id = w.run_id and s.nth = w.nth + 1),
+ended as (select *, row_number() over (partition by run_id order by nth desc) as back from walk)
+select run_id, state, coalesce(outcome, state) as settled_state, reason, outcome, outcome_reason, outcome_src, outcome_seq
+from ended where back = 1
+"""
+
 _flags = ("is_failed", "is_succeeded", "is_finished", "is_stage_succeeded")
 _outcome = ("run_id", "outcome", "reason", "seq")
 _reason = ("run_id", "reason", "coalesce(seq, -1) as seq")
@@ -364,6 +463,11 @@ RUN_STATUS_QUERIES = {
     "failure_reason_stream": Registered(
         _by_update(ops.failure_reason, *_reason), FAILURE_REASON
     ),
+    "run_summary": Registered(_run_summary, RUN_SUMMARY),
+    "run_summary_stream": Registered(_run_summary_updated, RUN_SUMMARY),
+    "run_summary_merged_stream": Registered(_run_summary_merged, RUN_SUMMARY),
+    "running_progress_late_stream": Registered(_progress_late, RUNNING_PROGRESS),
+    "throttled_report_late_stream": Registered(_throttled_late, THROTTLED_REPORT),
     "running_progress_stream": Registered(_progress_resumed, RUNNING_PROGRESS),
     "running_progress_keyed_stream": Registered(
         _by_append(streams.running_progress_stream, *_progress),
