@@ -39,8 +39,8 @@ PARTS = {
 }
 
 
-def run_events(feed: DataFrame) -> DataFrame:
-    """``(run_id, ts, seq, src, state, reason)`` of a feed of all three kinds of rows.
+def run_events(feed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(run_id, ts, seq, src, state, reason)`` of a feed of all three kinds of rows, and ``keep``.
 
     Cluster reports have ``app_id``, ``app_state`` and ``final_status``, lost drivers ``app_id``
     and ``address``; status messages their ``state`` and ``reason``.
@@ -48,19 +48,21 @@ def run_events(feed: DataFrame) -> DataFrame:
     src, app_id = F.col("src"), F.col("app_id")
     report = states.app_report(app_id, F.col("app_state"), F.col("final_status"))
     lost = states.disconnect_reason(F.lit(None).cast("string"), app_id, F.col("address"))
+    own = ("run_id", "ts", "seq", "src")
     return feed.select(
-        "run_id", "ts", "seq", "src",
+        *own,
         F.when(src == "query", F.col("state")).when(src == "app", report["state"]).alias("state"),
         F.when(src == "query", F.col("reason")).when(src == "app", report["reason"]).when(src == "lost", lost).alias("reason"),
-    )
+        *[c for c in keep if c not in own],
+    )
 
 
-def summarised(events: DataFrame) -> DataFrame:
-    """``(run_id, *PARTS)``; takes a stream as well, whose state is then one summary per run."""
+def said() -> dict[str, Column]:
+    """What one row of ``run_events`` adds to each part of a summary, or null."""
     state, reason, src = F.col("state"), F.col("reason"), F.col("src")
     of_query, of_app = (src == "query") & state.isNotNull(), (src == "app") & state.isNotNull()
     whole, place = F.struct("ts", "seq", "state", "reason"), F.struct("ts", "seq")
-    rows = {
+    return {
         "first_query_end": F.when(of_query & states.is_finished(state), whole),
         "first_app_end": F.when(of_app & (state != "RUNNING"), whole),
         "first_lost": F.when(src == "lost", F.struct("ts", "seq", "reason")),
@@ -68,7 +70,11 @@ def summarised(events: DataFrame) -> DataFrame:
         "last_query_reason": F.when(of_query & states.is_failed(state) & reason.isNotNull(), F.struct("ts", "seq", "reason")),
         "last_app_running": F.when(of_app & (state == "RUNNING"), place),
     }
-    return events.groupBy("run_id").agg(*[PARTS[part](rows[part]).alias(part) for part in PARTS])
+
+
+def summarised(events: DataFrame) -> DataFrame:
+    """``(run_id, *PARTS)``; takes a stream as well, whose state is then one summary per run."""
+    return events.groupBy("run_id").agg(*[PARTS[name](part).alias(name) for name, part in said().items()])
 
 
 def merged(*summaries: DataFrame) -> DataFrame:
@@ -77,8 +83,8 @@ def merged(*summaries: DataFrame) -> DataFrame:
     return every.groupBy("run_id").agg(*[merge(part).alias(part) for part, merge in PARTS.items()])
 
 
-def told(summaries: DataFrame) -> DataFrame:
-    """What the summaries tell.
+def told(summaries: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """What the summaries tell, beside the columns to ``keep``.
 
     ``(run_id, state, settled_state, reason, outcome, outcome_reason, outcome_src, outcome_seq)``:
     the state by messages and the same once the outcome is awaited, the last reason, and the
@@ -107,10 +113,11 @@ def told(summaries: DataFrame) -> DataFrame:
     succeeded = states.is_succeeded(F.col("first.state"))
     outcome = F.when(F.col("first").isNull(), nothing).when(succeeded, "FINISHED").otherwise("FAILED")
     return (
-        summaries.select("run_id", *PARTS, first.alias("first"), base.alias("base"), known.alias("known"))
+        summaries.select("run_id", *keep, *PARTS, first.alias("first"), base.alias("base"), known.alias("known"))
         .withColumns({"by_messages": state, "outcome": outcome})
         .select(
             "run_id",
+            *keep,
             F.col("by_messages").alias("state"),
             F.coalesce("outcome", "by_messages").alias("settled_state"),
             F.coalesce("known.reason", lost["reason"]).alias("reason"),

@@ -12,6 +12,7 @@ from runledger.operators import run_status as ops
 from runledger.operators.throttle import throttled_report
 from runledger.plans.registered import Registered
 from runledger.operators.run_summary import run_events, run_summary, summarised, told
+from runledger.operators.running_summary import report_lines, throttled_lines
 from runledger.sources.run_status import mixed_status, run_status
 from runledger.sources.shared import fresh_folder
 from runledger.sources.tables import read_table, table_path
@@ -188,6 +189,12 @@ def _run_summary(spark: SparkSession, folder: str) -> DataFrame:
     return run_summary(mixed_status(read_table(spark, folder, "events")))
 
 
+def _lines(operator: Callable[..., DataFrame], **options) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, folder: operator(
+        mixed_status(read_table(spark, folder, "events")), **options
+    ).select("run_id", "seq", "line")
+
+
 def _run_summary_updated(spark: SparkSession, folder: str) -> DataFrame:
     events = run_events(mixed_status(_unordered(spark, folder)))
     return told(_updated(spark, summarised(events)))
@@ -420,6 +427,29 @@ select run_id, state, coalesce(outcome, state) as settled_state, reason, outcome
 from ended where back = 1
 """
 
+_WALKED = RUN_SUMMARY[: RUN_SUMMARY.index("ended as (")]
+
+# The line at each row, and which of them are said: changed, or a heartbeat after the last one said.
+REPORT_LINES = _WALKED + """
+lines as (
+  select w.run_id, w.nth, s.seq, f.ts,
+         concat(s.app, ': ', w.state, case when w.reason is not null then concat(' ', w.reason) else '' end) as line
+  from walk w join steps s on s.run_id = w.run_id and s.nth = w.nth
+  join (select event_id, ts from events) f on f.event_id = s.seq)
+"""
+
+THROTTLED_LINES = REPORT_LINES + f""",
+says as (
+  select run_id, nth, seq, line, true as kept, line as kept_line, ts as kept_ts from lines where nth = 1
+  union all
+  select n.run_id, n.nth, n.seq, n.line,
+         n.line <> w.kept_line or n.ts > w.kept_ts + interval {DAY} second,
+         case when n.line <> w.kept_line or n.ts > w.kept_ts + interval {DAY} second then n.line else w.kept_line end,
+         case when n.line <> w.kept_line or n.ts > w.kept_ts + interval {DAY} second then n.ts else w.kept_ts end
+  from says w join lines n on n.run_id = w.run_id and n.nth = w.nth + 1)
+select run_id, seq, line from says where kept
+"""
+
 _flags = ("is_failed", "is_succeeded", "is_finished", "is_stage_succeeded")
 _outcome = ("run_id", "outcome", "reason", "seq")
 _reason = ("run_id", "reason", "coalesce(seq, -1) as seq")
@@ -464,6 +494,14 @@ RUN_STATUS_QUERIES = {
         _by_update(ops.failure_reason, *_reason), FAILURE_REASON
     ),
     "run_summary": Registered(_run_summary, RUN_SUMMARY),
+    "report_lines": Registered(_lines(report_lines), REPORT_LINES + "select run_id, seq, line from lines"),
+    "report_lines_cut": Registered(
+        _lines(report_lines, slice_rows=TEST_SLICE_ROWS), REPORT_LINES + "select run_id, seq, line from lines"
+    ),
+    "throttled_lines": Registered(_lines(throttled_lines, heartbeat_seconds=DAY), THROTTLED_LINES),
+    "throttled_lines_cut": Registered(
+        _lines(throttled_lines, heartbeat_seconds=DAY, slice_rows=TEST_SLICE_ROWS), THROTTLED_LINES
+    ),
     "run_summary_stream": Registered(_run_summary_updated, RUN_SUMMARY),
     "run_summary_merged_stream": Registered(_run_summary_merged, RUN_SUMMARY),
     "running_progress_late_stream": Registered(_progress_late, RUNNING_PROGRESS),
