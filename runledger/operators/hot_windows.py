@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from runledger.operators.run_slices import MAX_SLICES, SLICE_ROWS, same_keys, cut_hot
+from runledger.operators.run_slices import MAX_SLICES, SLICE_ROWS, cut_hot, same_keys
 
 SLICE = "_slice"
 
@@ -161,3 +161,25 @@ def over_blocks(
 def block_window(keys: list[str], row_no: str = "row_no"):
     """The window of a block, in order; for columns of ``over_blocks``."""
     return Window.partitionBy(*keys, SLICE).orderBy(row_no)
+
+
+def with_first(
+    df: DataFrame, keys: list[str], column: str, name: str, row_no: str = "row_no", block_rows: int = SLICE_ROWS
+) -> DataFrame:
+    """``df``, numbered by ``row_no`` in each key, with ``column`` of the key's first row.
+
+    The first row is given to every block of its key, so that rows and it meet block by block.
+    """
+    block = F.floor((F.col(row_no) - 1) / block_rows)
+    names = [f"_k{i}" for i in range(len(keys))]
+    blocks = df.groupBy(*keys).agg(
+        F.max(block).alias("_last"), F.max(F.when(F.col(row_no) == 1, F.struct(F.col(column).alias("v")))).alias("_first")
+    )
+    given = blocks.select(
+        *[F.col(k).alias(n) for k, n in zip(keys, names)],
+        F.explode(F.sequence(F.lit(0).cast("long"), "_last")).alias("_b"),
+        F.col("_first.v").alias(name),
+    )
+    return (
+        df.withColumn(SLICE, block).join(given, same_keys([*keys, SLICE], [*names, "_b"])).drop(*names, "_b", SLICE)
+    )
