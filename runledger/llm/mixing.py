@@ -2,15 +2,21 @@
 
 Every document gets a rate, the expected number of its copies in the mix. Of all rates that
 give each source its target number of tokens, entropy balancing takes those nearest to one in
-relative entropy per token. They are exponentials of the dual variables, exp(dual of the
-document's source), at most ``limit``; the dual is convex and its Newton steps need, for each
-source, the tokens that the present rates take (the gradient) and their derivative. Each
-iteration sums both over all documents, in Spark, from the tokens of each (source, size) class.
+relative entropy, summed over documents. They are tilted exponentially by the document's tokens,
+
+    rate = min(limit, exp(dual of its source * size)),
+
+so where a source has to grow its long documents grow most. The dual is convex, and its Newton
+steps need, for each source, the tokens that the present rates take (the gradient) and their
+derivative. Each step sums both in Spark, from the number of documents of each (source, size). A
+step that would leave the interval known to hold the solution is replaced by halving it.
 
 Rates are then rounded to copies. Documents of a source are dealt by hash into blocks of about
 ``BLOCK_ROWS``; in a block, longest first, each takes the whole number below or above its rate
-that keeps the tokens taken so far nearest to the tokens due, so that a block ends about one
-short document off its share. Blocks are independent tasks, whatever a source's size.
+that keeps the tokens taken so far nearest to the tokens due. What is off at the end is mended by
+one or two documents at a time, those whose other whole number brings it nearest to zero, as long
+as that helps; a block of few documents then also takes one copy more or less than that of any.
+Blocks are independent tasks, whatever a source's size.
 
 Defined cases: a null text or one without words has size 0, takes 0 words and keeps one copy
 at most; a null source is a source of its own, last in order; repeated rows are documents of
@@ -79,36 +85,58 @@ def token_targets(sizes: DataFrame, weights: tuple[float, ...], limit: float) ->
 def balanced_duals(classes: DataFrame, targets: DataFrame, limit: float, tolerance: float = 1e-9) -> DataFrame:
     """``targets`` with the dual variable of each source.
 
-    ``classes`` (source, size, n) counts the documents of a size. Newton steps on the dual are
-    taken until every source is within ``tolerance`` of its target; a source without tokens has
-    no constraint. Each step is written down, so a later one does not repeat the earlier ones.
+    ``classes`` (source, size, n) counts the documents of a size. Steps are taken until every
+    source is within ``tolerance`` of its target; a source without tokens has no constraint, and
+    one whose target is its limit has all documents there. Each step is written down, so a later
+    one does not repeat the earlier ones.
     """
-    top = math.log(limit)
-    duals = targets.withColumn("dual", F.lit(0.0))
+    # At ``top`` every document with a token is at the limit; at ``low`` too little is taken, as
+    # exp(dual * size) is at most exp(dual) below zero.
+    top, goal = math.log(limit), F.col("target")
+    full = goal >= F.col("source_size") * float(limit) * (1 - 1e-12)
+    has_tokens = (F.col("source_size") > 0) & (goal > 0)
+    low = -1 - F.log(F.greatest(F.col("source_size") / goal, F.lit(1.0)))
+    duals = targets.withColumns(
+        {
+            "dual": F.when(has_tokens & full, F.lit(top)).otherwise(0.0),
+            "low": F.when(has_tokens, low).otherwise(0.0),
+            "high": F.lit(top),
+        }
+    )
+    size, n = F.col("size"), F.col("n")
+    state = ("source", "source_size", "target", "dual", "low", "high")
     for _ in range(NEWTON_STEPS):
-        rate = F.least(F.exp("dual"), F.lit(float(limit)))
+        rate = _rate(limit)
+        off, slope = F.col("taken") - goal, F.col("slope")
+        low = F.when(off < 0, F.col("dual")).otherwise(F.col("low"))
+        high = F.when(off > 0, F.col("dual")).otherwise(F.col("high"))
+        newton = F.col("dual") - F.try_divide(off, slope)
+        inside = (newton > low) & (newton < high)
+        far = (F.col("source_size") > 0) & (F.abs(off) > tolerance * F.greatest(goal, F.lit(1.0)))
         step = (
             classes.withColumnRenamed("source", "of")
             .join(duals, F.col("of").eqNullSafe(F.col("source")))
-            .groupBy("source", "source_size", "target", "dual")
-            .agg(F.sum(F.col("size") * F.col("n") * rate).alias("taken"))
-            .withColumn("off", F.col("taken") - F.col("target"))
+            .groupBy(*state)
+            .agg(
+                F.sum(size * n * rate).alias("taken"),
+                F.sum(F.when(rate < limit, size * size * n * rate).otherwise(0.0)).alias("slope"),
+            )
+            .withColumn("far", far)
+            .withColumn("moved", F.when(~far, F.col("dual")).when(inside, newton).otherwise((low + high) / 2))
         )
-        # The tokens taken are exponential in the dual, so they are their own derivative.
-        moved = F.when(F.col("taken") > 0, F.col("dual") - F.col("off") / F.col("taken")).otherwise(F.col("dual"))
-        duals = stored(
-            step.withColumn("dual", F.least(moved, F.lit(top))).withColumn(
-                "far", F.abs("off") > tolerance * F.greatest("target", F.lit(1.0))
-            ),
-            "duals",
-        )
-        far = duals.agg(F.max("far")).first()[0]
-        duals = duals.select("source", "source_size", "target", "dual")
-        if not far:
-            return duals
+        step = stored(step.withColumns({"low": low, "high": high}).drop("dual").withColumnRenamed("moved", "dual"), "duals")
+        still = step.agg(F.max("far")).first()[0]
+        duals = step.select(*state)
+        if not still:
+            return duals.drop("low", "high")
     raise ArithmeticError(f"duals are not settled after {NEWTON_STEPS} Newton steps")
 
 
+def _rate(limit: float) -> Column:
+    """The rate of a document of ``size`` by the ``dual`` of its source."""
+    return F.least(F.exp(F.col("dual") * F.col("size")), F.lit(float(limit)))
+
+
 def mix(
     docs: DataFrame,
     weights: tuple[float, ...] = (5.0, 2.0, 1.0),
@@ -142,17 +170,17 @@ def mix(
             "of",
             "source_size",
             "target",
-            F.least(F.exp("dual"), F.lit(float(limit))).alias("rate"),
+            "dual",
             F.ceil(F.col("rows") / BLOCK_ROWS).cast("long").alias("blocks"),
         )
     )
     rated = sized.join(sources, F.col("source").eqNullSafe(F.col("of"))).select(
         "source", F.pmod(F.col("mark"), F.col("blocks")).alias("block"), "mark",
-        "size", "source_size", "target", "rate", "row",
+        "size", "source_size", "target", _rate(limit).alias("rate"), "row",
     )
     fields = [f for f in rated.schema.fields if f.name in ("size", "source_size", "target", "row")]
     out = T.StructType([*fields, T.StructField("copies", T.IntegerType())])
-    rounded = rated.groupBy("source", "block").applyInArrow(_rounded, out)
+    rounded = rated.groupBy("source", "block").applyInArrow(lambda block: _rounded(block, limit), out)
     return rounded.select(
         *[F.col(f"row.c{i}").alias(c) for i, c in enumerate(keep)],
         "size", "source_size", "target", "copies",
@@ -160,30 +188,71 @@ def mix(
     )
 
 
-def _rounded(block: pa.Table) -> pa.Table:
-    """Copies for the documents of one block; all have the same rate."""
+def _rounded(block: pa.Table, limit: int) -> pa.Table:
+    """Copies for the documents of one block, at most ``limit`` each."""
     order = np.lexsort((block["mark"].to_numpy(), -block["size"].to_numpy()))
-    size, rate = block["size"].to_numpy()[order], block["rate"][0].as_py()
-    low = math.floor(rate)
-    copies = np.where(size > 0, low, min(low, 1))
-    if rate > low:
-        due = 0.0  # tokens due less tokens taken
-        for i, n in enumerate(size.tolist()):
-            due += (rate - low) * n
-            if n and 2 * due > n:
-                copies[i] += 1
-                due -= n
+    size, rate = block["size"].to_numpy()[order], block["rate"].to_numpy()[order]
+    low = np.floor(rate).astype(np.int64)
+    copies = np.where(size > 0, low, np.minimum(low, 1))
+    due = 0.0  # tokens due less tokens taken
+    for i, (n, part) in enumerate(zip(size.tolist(), (rate - low).tolist())):
+        due += part * n
+        if n and 2 * due > n and part:
+            copies[i] += 1
+            due -= n
+    due = _mended(copies, size, due, low, np.ceil(rate).astype(np.int64))
+    if abs(due) > 1:
+        _mended(copies, size, due, np.zeros_like(low), np.full_like(low, limit))
     columns = block.take(order).select(["size", "source_size", "target", "row"])
     return columns.append_column("copies", pa.array(copies, pa.int32()))
 
 
+def _mended(copies: np.ndarray, size: np.ndarray, due: float, least: np.ndarray, most: np.ndarray) -> float:
+    """Change ``copies`` by one here and there, within bounds, while that brings ``due`` to zero."""
+    while True:
+        way = 1 if due > 0 else -1
+        up, down = (copies < most) & (size > 0), (copies > least) & (size > 0)
+        forth, back = np.flatnonzero(up if way > 0 else down), np.flatnonzero(down if way > 0 else up)
+        where = np.concatenate([forth, back])
+        steps = np.concatenate([np.full(len(forth), way), np.full(len(back), -way)])
+        picked = _nearest(size[where] * steps, due) > 0
+        if not picked.any():  # also where there is nothing to change
+            return due
+        np.add.at(copies, where[picked], steps[picked])
+        due -= float((size[where] * steps)[picked].sum())
+
+
+def _nearest(steps: np.ndarray, due: float) -> np.ndarray:
+    """Which none, one or two of ``steps`` (1 there, else 0) come nearest to ``due``."""
+    if not len(steps):
+        return steps
+    order = np.argsort(steps, kind="stable")
+    ordered = steps[order]
+    picked, off = [], abs(due)
+    # Two different ones: the other stands next to where the rest of the way would be.
+    at = np.searchsorted(ordered, due - ordered)
+    me = np.arange(len(ordered))
+    for other in (at - 2, at - 1, at, at + 1, np.full(len(at), -1)):
+        alone = other < 0
+        usable = alone | ((other < len(ordered)) & (other != me))
+        sums = ordered + np.where(alone, 0, ordered[np.clip(other, 0, len(ordered) - 1)])
+        miss = np.where(usable, np.abs(due - sums), np.inf)
+        best = int(miss.argmin())
+        if miss[best] < off - 1e-9:
+            off, picked = miss[best], [best] if alone[best] else [best, int(other[best])]
+    out = np.zeros(len(steps), np.int64)
+    out[order[picked]] = 1
+    return out
+
+
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, with the same columns."""
     row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)])
     held = docs.select(
         F.col(options.pop("source", "source")).alias("source"),
         word_count(F.col("text")).alias("words"),
-        F.xxhash64("doc_id").alias("id"),
+        # Documents alike in id and size are told apart by their texts, so that reruns agree.
+        F.xxhash64("doc_id", "text").alias("id"),
         row.alias("whole"),
     )
     copies = F.explode(F.array_repeat(F.lit(0), F.col("copies")))

@@ -59,7 +59,9 @@ def test_long_text(spark):
 def test_learns_a_list(spark):
     rows = spark.range(6000).select(
         F.col("id").alias("doc_id"),
-        F.expr("case when id % 4 = 0 then repeat('AB! #x ', 20) when id % 4 = 1 then repeat('a1 b2 ', 30) "
+        # The bad ones pass the base rule: their words differ, but hold signs or digits.
+        F.expr("case when id % 4 = 0 then concat_ws(' ', transform(sequence(1, 40), i -> concat('AB!#', lpad(i * (1 + id % 97), 4, '0')))) "
+               "when id % 4 = 1 then concat_ws(' ', transform(sequence(1, 40), i -> cast(1000000 + i * (1 + id % 89) as string))) "
                "else concat_ws(' ', transform(sequence(1, 40), i -> concat('word', i * (id % 97)))) end").alias("text"),
     )
     labels = rows.select("doc_id", F.expr("if(id_ % 4 < 2, 0, 1)".replace("id_", "doc_id")).alias("quality"))
