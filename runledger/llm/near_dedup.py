@@ -11,10 +11,11 @@ threshold allows; aligned over all shingles of either text is the similarity, li
 or more.
 
 A bucket never emits all its pairs. Exact copies are one node. In each round every bucket
-compares its members with one leader, another one in each bucket; components are formed; and
+compares its members with one leader: the one with the smallest share of shingles that it has alone,
+so the most typical, of those outside the components of earlier leaders. Components are formed, and
 only members that are still apart from their leader's component go on with the next leader.
-What is apart after ``LEADER_ROUNDS`` is compared pair by pair, across components only, so no
-pair that shares a bucket is lost. Shingles that no other candidate has bound what a text can have
+What is apart after ``LEADER_ROUNDS`` is compared pair by pair, across components only and in the
+first bucket that the pair shares, so no pair that shares a bucket is lost and none comes twice. Shingles that no other candidate has bound what a text can have
 in common with any; pairs whose bounds exclude the threshold are left out everywhere, which
 in a large group of texts with many edits each is nearly all of them.
 
@@ -40,7 +41,7 @@ from runledger.llm.components import extended
 
 SHINGLE, SIMILARITY = 5, 0.8
 REPEATS, PICKS = 16, 3
-LEADER_ROUNDS = 2
+LEADER_ROUNDS = 4
 
 #: Odd multipliers, one per hash function.
 _FACTORS = mixed(np.arange(1, REPEATS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -217,27 +218,37 @@ def document_classes(
         .join(_own_shingles(texts), "mark", "left")
         .withColumn("common", F.col("shingles") - F.coalesce("own", F.lit(0)))
         .filter(F.col("common") >= F.lit(similarity) * F.col("shingles") - 1e-9)
-        .select("node", "shingles", "common", "key"),
+        .join(nodes.select("node", "keys"), "node")
+        .select("node", "shingles", "common", "key", "keys"),
         "members",
     )
     # At most what both have in common with others is aligned.
     most = F.least("c_a", "c_b")
     close = most >= F.lit(similarity) * (F.col("n_a") + F.col("n_b") - most) - 1e-9
     pair = (F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    tested = labels = None
+    tested = labels = leaders = None
     for round_ in range(LEADER_ROUNDS + 1):
         of = members.withColumn("label", F.col("node"))
         if labels is not None:
             of = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        left = of.select("key", F.col("node").alias("x"), F.col("shingles").alias("n_a"), F.col("common").alias("c_a"), F.col("label").alias("l_a"))
-        right = of.select("key", F.col("node").alias("y"), F.col("shingles").alias("n_b"), F.col("common").alias("c_b"), F.col("label").alias("l_b"))
+        # Buckets of one component have nothing left to compare.
+        open_ = of.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+        of = of.join(open_.filter("least != most").select("key"), "key")
+        left = of.select("key", F.col("node").alias("x"), F.col("shingles").alias("n_a"), F.col("common").alias("c_a"), F.col("label").alias("l_a"), F.col("keys").alias("k_a"))
+        right = of.select("key", F.col("node").alias("y"), F.col("shingles").alias("n_b"), F.col("common").alias("c_b"), F.col("label").alias("l_b"), F.col("keys").alias("k_b"))
         if round_ < LEADER_ROUNDS:
-            draw = F.xxhash64("y", "key", F.lit(round_))
-            least = right.groupBy("key").agg(F.min(draw).alias("draw"))
-            right = right.join(least, "key").filter(draw == F.col("draw")).drop("draw")
+            left, right = left.drop("k_a"), right.drop("k_b")
+            if leaders is not None:
+                barred = leaders if labels is None else leaders.join(labels, "node", "left")
+                barred = barred.select("key", F.coalesce("label" if labels is not None else "node", "node").alias("l_b"))
+                right = right.join(barred.distinct(), ["key", "l_b"], "left_anti")
+            draw = F.struct((1 - F.col("c_b") / F.col("n_b")).alias("alone"), F.xxhash64("y", "key").alias("h"), "y")
+            right = right.join(right.groupBy("key").agg(F.min(draw).alias("first")).select("key", F.col("first.y").alias("y")), ["key", "y"])
+            chosen = stored(right.select("key", F.col("y").alias("node")), "leaders")
+            leaders = chosen if leaders is None else leaders.union(chosen)
             apart = F.col("l_a") != F.col("l_b")
         else:
-            apart = F.col("l_a") < F.col("l_b")
+            apart = (F.col("l_a") < F.col("l_b")) & (F.array_intersect("k_a", "k_b")[0] == F.col("key"))
         pairs = left.join(right, "key").filter(apart & close).select(*pair).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
