@@ -10,7 +10,12 @@ depend on each other, and are found by jumping from one to the next.
 For runs cut into slices, what a slice leaves behind is first summed up as a step
 table: "last kept before the slice" -> "last kept at its end". Only rows within
 one heartbeat of the slice's start can be the first kept one, so the table has no
-more rows than that. The tables are then walked once per run, in slice order.
+more rows than that. Step tables are functions, constant on stretches, and two
+neighbouring ones compose into one for both slices, no longer than the first.
+So the slices of a run form a tree: ``FAN_IN`` neighbours are composed in one task,
+then ``FAN_IN`` of these, up to the whole run; and down again each gives its parts
+what they have to know. The rounds grow with the logarithm of the number of slices,
+and no task reads more than ``FAN_IN`` tables, however long a run is.
 """
 
 from __future__ import annotations
@@ -31,6 +36,7 @@ from runledger.operators.run_slices import (
     SLICE_ROWS,
     cut_hot_runs,
 )
+from runledger.sources.shared import fresh_folder
 
 
 def throttled_report(
@@ -166,43 +172,67 @@ class _KeepReports:
         return keep, tail
 
 
+#: Step tables that one task composes.
+FAN_IN = 16
+
+
 def _slice_entries(hot: DataFrame, heartbeat: int) -> DataFrame:
     """``(of_run, of_slice, entry)`` for every slice but the first of a run."""
-    run_type = hot.schema["run_id"].dataType
-    steps_schema = (
-        T.StructType()
-        .add("run_id", run_type)
-        .add("run_slice", T.IntegerType())
+    spark, run_type = hot.sparkSession, hot.schema["run_id"].dataType
+    node = T.StructType().add("run_id", run_type).add("run_slice", T.IntegerType())
+    table_schema = (
+        T.StructType(list(node.fields))
         .add("first_report", T.StringType())
         .add("first_us", T.LongType())
         .add("last_report", T.StringType())
         .add("last_us", T.LongType())
-        .add("at", T.LongType())
-        .add("ends", T.LongType())
-    )
-    entries_schema = (
-        T.StructType()
-        .add("of_run", run_type)
-        .add("of_slice", T.IntegerType())
-        .add("last_report", T.StringType())
-        .add("last_us", T.LongType())
-        .add("kept_us", T.LongType())
+        .add("at", T.ArrayType(T.LongType()))
+        .add("ends", T.ArrayType(T.LongType()))
     )
+    entry_fields = [
+        T.StructField("last_report", T.StringType()),
+        T.StructField("last_us", T.LongType()),
+        T.StructField("kept_us", T.LongType()),
+    ]
+    known_schema = T.StructType([*node.fields, *entry_fields])
 
     def steps(slice_rows: pa.Table) -> pa.Table:
         return _step_table(slice_rows, heartbeat)
 
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _walk_steps(batches, heartbeat, entries_schema.names)
-
-    entry = F.struct("last_report", "last_us", "kept_us").alias("entry")
-    return (
-        hot.groupBy(*SLICE_KEYS)
-        .applyInArrow(steps, steps_schema)
-        .repartition("run_id")
-        .sortWithinPartitions(*SLICE_KEYS, "at")
-        .mapInArrow(walk, entries_schema)
-        .select("of_run", "of_slice", entry)
+    def compose(tables: pa.Table) -> pa.Table:
+        return _composed(tables, heartbeat)
+
+    def hand_down(tables: pa.Table) -> pa.Table:
+        return _handed_down(tables, heartbeat, known_schema.names)
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        path = fresh_folder(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    # Up: a node of the next level stands for FAN_IN nodes, by their number.
+    levels = [written(hot.groupBy(*SLICE_KEYS).applyInArrow(steps, table_schema), "steps")]
+    widest = levels[0].agg(F.max("run_slice")).first()[0]
+    above = F.floor(F.col("run_slice") / FAN_IN).cast("int").alias("group")
+    while widest > 0:
+        grouped = levels[-1].withColumn("group", above).groupBy("run_id", "group")
+        levels.append(written(grouped.applyInArrow(compose, table_schema), "steps"))
+        widest //= FAN_IN
+    # Down: what a node knows of the rows before it goes to its parts, the first of them as it is.
+    known = spark.createDataFrame([], known_schema)
+    for tables in reversed(levels[:-1]):
+        parts = tables.withColumn("group", above)
+        of_group = known.withColumnsRenamed({"run_slice": "group"}).select(
+            "run_id", "group", F.struct("last_report", "last_us", "kept_us").alias("entry")
+        )
+        same = F.col("run_id").eqNullSafe(F.col("of_run")) & (F.col("group") == F.col("of_group"))
+        of_group = of_group.withColumnsRenamed({"run_id": "of_run", "group": "of_group"})
+        parts = parts.join(of_group, same, "left").drop("of_run", "of_group")
+        known = written(parts.groupBy("run_id", "group").applyInArrow(hand_down, known_schema), "entries")
+    return known.select(
+        F.col("run_id").alias("of_run"),
+        F.col("run_slice").alias("of_slice"),
+        F.struct("last_report", "last_us", "kept_us").alias("entry"),
     )
 
 
@@ -228,22 +258,24 @@ def _step_table(rows: pa.Table, heartbeat: int) -> pa.Table:
         starts, ends = t[:reach], ends[:reach]
         last_of_step = np.append(ends[1:] != ends[:-1], True)
         at, ends = pa.array(starts[last_of_step]), ends[last_of_step]
-    n = len(ends)
     first, last = rows.slice(0, 1), rows.slice(len(t) - 1, 1)
+    return _one_table(
+        first["run_id"], first["run_slice"], first["report"], t[0], last["report"], t[-1], at, ends
+    )
 
-    def repeat(row: pa.Table, name: str) -> pa.Array:
-        return pa.repeat(row[name][0], n)
 
+def _one_table(run_id, run_slice, first_report, first_us, last_report, last_us, at, ends) -> pa.Table:
+    """A step table as one row."""
     return pa.table(
         {
-            "run_id": repeat(first, "run_id"),
-            "run_slice": repeat(first, "run_slice"),
-            "first_report": repeat(first, "report"),
-            "first_us": np.full(n, t[0]),
-            "last_report": repeat(last, "report"),
-            "last_us": np.full(n, t[-1]),
-            "at": at,
-            "ends": ends,
+            "run_id": run_id,
+            "run_slice": run_slice,
+            "first_report": first_report,
+            "first_us": pa.array([first_us], pa.int64()),
+            "last_report": last_report,
+            "last_us": pa.array([last_us], pa.int64()),
+            "at": pa.array([pa.array(at).to_pylist()], pa.list_(pa.int64())),
+            "ends": pa.array([np.asarray(ends).tolist()], pa.list_(pa.int64())),
         }
     )
 
@@ -260,48 +292,83 @@ def _last_beats(t: np.ndarray, heartbeat: int) -> np.ndarray:
         to = further
 
 
-def _walk_steps(
-    batches: Iterator[pa.RecordBatch], heartbeat: int, names: list[str]
-) -> Iterator[pa.RecordBatch]:
-    """Go through the step tables of a run in slice order."""
-    sources = (*SLICE_KEYS, "last_report", "last_us", "ends")
-    current = None  # the slice being read
-    before = kept = left = None  # rows before it; last kept before it and after it
-    last = None  # its own last row
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        keys = [batch[name] for name in SLICE_KEYS]
-        new = np.logical_or(*(differs(key, shifted(key, key.slice(0, 1))) for key in keys))
-        new[0] = True
-        heads = np.flatnonzero(new)
-        # A single step that holds whatever came before is never too early.
-        at = np.array(pc.fill_null(batch["at"], np.iinfo(np.int64).max))
-        ends = np.array(batch["ends"])
-        found = []
-        for head, tail in zip(heads, np.append(heads[1:], len(at))):
-            step = batch.slice(head, 1).to_pylist()[0]
-            key = (step["run_id"], step["run_slice"])
-            if key != current:
-                same_run = current is not None and key[0] == current[0]
-                if same_run:
-                    kept = kept if left is None else left
-                    before = last
-                    found.append((*key, *before, kept))
-                fresh = (
-                    not same_run
-                    or step["first_report"] != before[0]
-                    or step["first_us"] > before[1] + heartbeat
-                )
-                current, left = key, None
-                last = (step["last_report"], step["last_us"])
-            if left is None:
-                first = head
-                if not fresh:
-                    first += np.searchsorted(at[head:tail], kept + heartbeat, side="right")
-                if first < tail:
-                    left = int(ends[first])
-        if found:
-            types = [batch.schema.field(name).type for name in sources]
-            columns = [pa.array(c, t) for c, t in zip(zip(*found), types)]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+class _Steps:
+    """The step table of a slice, or of several neighbours, as a function.
+
+    ``at`` ascends, with ``ends`` for each; a table whose end depends on nothing before has a
+    single step, at the end of time.
+    """
+
+    def __init__(self, row: dict):
+        never = np.iinfo(np.int64).max
+        self.row = row
+        self.at = np.array([never if x is None else x for x in row["at"]], np.int64)
+        self.ends = np.array(row["ends"], np.int64)
+
+    def follows(self, before: dict, heartbeat: int) -> bool:
+        """Whether the first row goes on from the last one ``before``, so may be left out."""
+        same = self.row["first_report"] == before["last_report"]
+        return same and self.row["first_us"] <= before["last_us"] + heartbeat
+
+    def left(self, kept: np.ndarray, follows: bool, heartbeat: int) -> np.ndarray:
+        """When a row was last kept at the end, if one was last kept at ``kept`` before."""
+        if not follows:
+            return np.full(len(kept), self.ends[0])
+        step = np.searchsorted(self.at, kept + heartbeat, side="right")
+        return np.where(step < len(self.at), self.ends[np.minimum(step, len(self.at) - 1)], kept)
+
+
+def _in_order(tables: pa.Table) -> list[dict]:
+    return sorted(tables.to_pylist(), key=lambda row: row["run_slice"])
+
+
+def _composed(tables: pa.Table, heartbeat: int) -> pa.Table:
+    """One step table for neighbouring slices, numbered as their group."""
+    rows = _in_order(tables)
+    first = _Steps(rows[0])
+    at, ends, before = first.at, first.ends, rows[0]
+    # Beyond the last step nothing of the slices so far was kept: a later one may start there.
+    for row in rows[1:]:
+        table = _Steps(row)
+        follows = table.follows(before, heartbeat)
+        further = table.at > at[-1] if follows else np.zeros(len(table.at), bool)
+        ends = np.append(table.left(ends, follows, heartbeat), table.ends[further])
+        if not follows and at[-1] != np.iinfo(np.int64).max:
+            # Whatever is kept before, the first row of this slice is.
+            at, ends = np.append(at, np.iinfo(np.int64).max), np.append(ends, table.ends[0])
+        else:
+            at = np.append(at, table.at[further])
+        # No row kept before the first slice is more than a heartbeat before a row it leaves out.
+        needed = int(np.searchsorted(at, rows[0]["first_us"] + heartbeat, side="right")) + 1
+        at, ends = at[:needed], ends[:needed]
+        before = row
+    last_of_step = np.append(ends[1:] != ends[:-1], True)
+    at, ends = at[last_of_step], ends[last_of_step]
+    nulls = pa.array(at, mask=at == np.iinfo(np.int64).max)
+    head, last = tables.slice(0, 1), rows[-1]
+
+    def text(value: str | None) -> pa.Array:
+        return pa.array([value], pa.string())
+
+    return _one_table(
+        head["run_id"], head["group"], text(rows[0]["first_report"]), rows[0]["first_us"],
+        text(last["last_report"]), last["last_us"], nulls, ends,
+    )
+
+
+def _handed_down(tables: pa.Table, heartbeat: int, names: list[str]) -> pa.Table:
+    """What each part of a group has to know, from what the group knows; none for the run's first."""
+    rows, out = _in_order(tables), []
+    known = rows[0]["entry"]
+    for row in rows:
+        table = _Steps(row)
+        if known is None:
+            kept = table.ends[0]
+        else:
+            out.append((row["run_slice"], known["last_report"], known["last_us"], known["kept_us"]))
+            kept = table.left(np.array([known["kept_us"]]), table.follows(known, heartbeat), heartbeat)[0]
+        known = {"last_report": row["last_report"], "last_us": row["last_us"], "kept_us": int(kept)}
+    kinds = (pa.int32(), pa.string(), pa.int64(), pa.int64())
+    run_id = pa.chunked_array([tables["run_id"].slice(0, 1).combine_chunks()] * len(out), tables["run_id"].type)
+    columns = [pa.array(c, k) for c, k in zip(list(zip(*out)) or [()] * 4, kinds)]
+    return pa.table([run_id, *columns], names)

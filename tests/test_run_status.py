@@ -1,8 +1,13 @@
+import random
+
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from runledger.functions.states import FAILED_STATES
 from runledger.operators import run_status as ops
 from runledger.operators.run_slices import cut_hot_runs
+from runledger.operators import throttle
 from runledger.operators.throttle import throttled_report
 
 import folds
@@ -112,6 +117,45 @@ def test_throttled_report(spark, shape, slice_rows, heartbeat):
     assert got == sorted(want)
 
 
+@pytest.mark.parametrize("fan_in, states", [(2, ("SUBMITTED", "RUNNING")), (3, ("RUNNING",))])
+def test_throttled_report_by_a_deep_tree(spark, monkeypatch, fan_in, states):
+    """Many slices of one run, several levels of step tables; stretches longer than a slice."""
+    monkeypatch.setattr(throttle, "FAN_IN", fan_in)
+    feed = folds.random_feed(fan_in, 120, runs=2, hot=0.9, states=states, weights=(1, 30)[2 - len(states) :])
+    df = spark.createDataFrame([tuple(r.values()) for r in feed], folds.FEED_SCHEMA)
+    for heartbeat in (30, 200):
+        kept = throttled_report(df, "state", heartbeat, 5)
+        want = [s for rows in folds.by_run(feed).values() for s in folds.throttled(rows, heartbeat)]
+        assert sorted(r.seq for r in kept.collect()) == sorted(want)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_step_tables_compose(seed):
+    """A table composed of a run of slices says what they say one after the other."""
+    rng = random.Random(seed)
+    heartbeat, t, tables = rng.choice([5, 20, 60]), 0, []
+    for number in range(6):
+        rows = []
+        for _ in range(rng.randint(1, 6)):
+            t += rng.choice([0, 1, 2, 9, 25]) if rng.random() < 0.95 else 90
+            rows.append((7, number, t, len(rows), rng.choices(["a", "b"], [30, 1])[0]))
+        table = pa.table(dict(zip(("run_id", "run_slice", "ts", "seq", "report"), map(list, zip(*rows)))))
+        tables.append(throttle._step_table(table.set_column(1, "run_slice", table["run_slice"].cast(pa.int32())), heartbeat))
+    grouped = [table.append_column("group", pa.array([0], pa.int32())) for table in tables]
+    whole = throttle._Steps(throttle._composed(pa.concat_tables(grouped), heartbeat).to_pylist()[0])
+    parts = [throttle._Steps(table.to_pylist()[0]) for table in tables]
+    first = parts[0].row
+    for back in range(0, heartbeat + 10):
+        kept_at = first["first_us"] - back
+        for report in "ab":
+            before = {"last_report": report, "last_us": max(kept_at, first["first_us"] - min(back, 3))}
+            kept, now = np.array([kept_at]), before
+            for part in parts:
+                kept, now = part.left(kept, part.follows(now, heartbeat), heartbeat), part.row
+            got = whole.left(np.array([kept_at]), whole.follows(before, heartbeat), heartbeat)
+            assert got[0] == kept[0], (seed, back, report)
+
+
 def test_throttled_report_over_small_arrow_batches(spark):
     rows = folds.random_feed(seed=3, rows=1500, hot=0.5, weights=(1, 1, 400, 1, 1, 1))
     df = spark.createDataFrame(rows, folds.FEED_SCHEMA)
