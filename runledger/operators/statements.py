@@ -24,9 +24,9 @@ def classify_statement(statements: DataFrame, sql: str = "sql") -> DataFrame:
     return statements.withColumn("is_result_query", is_result_query(F.col(sql)))
 
 
-def write_result_text(result: DataFrame, path: str) -> None:
-    """Write one text line per row; fails if ``path`` exists."""
-    row_text(result).write.mode("errorifexists").text(path)
+def write_result_text(result: DataFrame, path: str, overwrite: bool = False) -> None:
+    """Write one text line per row; fails if ``path`` exists, unless it is to be replaced."""
+    row_text(result).write.mode("overwrite" if overwrite else "errorifexists").text(path)
 
 
 def collect_rows(result: DataFrame) -> DataFrame:

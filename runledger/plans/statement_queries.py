@@ -8,8 +8,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runledger.functions.row_text import row_text
-from runledger.operators.batch import read_run_log, run_batch
+from runledger.functions.row_text import row_json, row_text
+from runledger.operators.batch import batch_outcomes, read_run_log, run_batch
 from runledger.operators.run_status import final_outcome
 from runledger.operators.statements import (
     classify_statement,
@@ -81,6 +81,16 @@ def _row_text(spark: SparkSession, folder: str) -> DataFrame:
     return row_text(run_sql(spark, ROW_TEXT_SQL))
 
 
+def _row_json(spark: SparkSession, folder: str) -> DataFrame:
+    """The lossless form, written and read back as the columns that it was made of."""
+    register_views(spark, folder, ("customer",))
+    result = run_sql(spark, ROW_TEXT_SQL)
+    out = fresh_folder(spark, "json")
+    row_json(result).write.text(out)
+    read = F.from_json("value", result.schema).alias("row")
+    return spark.read.text(out).select(read).select("row.*")
+
+
 def _write_result_text(spark: SparkSession, folder: str) -> DataFrame:
     register_views(spark, folder, ("orders", "customer"))
     out = unique_out_path(fresh_folder(spark, "text"), 1)
@@ -106,8 +116,8 @@ def _unique_out_path(spark: SparkSession, folder: str) -> DataFrame:
     return runs.select("run_id", path)
 
 
-def _run_batch(spark: SparkSession, folder: str) -> DataFrame:
-    """One statement per region, the last of them not SQL: outcome and lines written."""
+def _region_statements(spark: SparkSession, folder: str) -> DataFrame:
+    """One statement per region, the last of them not SQL."""
     register_views(spark, folder, ("region", "nation", "customer"))
     sql = F.concat(
         F.when(F.col("r_name") == "MIDDLE EAST", "selec").otherwise("select"),
@@ -115,25 +125,49 @@ def _run_batch(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(" where n_regionkey = "),
         F.col("r_regionkey"),
     )
-    statements = read_table(spark, folder, "region").select(
+    return read_table(spark, folder, "region").select(
         F.col("r_regionkey").cast("bigint").alias("stmt_id"), sql.alias("sql")
     )
-    log, out = fresh_folder(spark, "log"), fresh_folder(spark, "results")
-    run_batch(spark, statements, log, out)
-    ended = final_outcome(read_run_log(spark, log))
+
+
+def _logged(spark: SparkSession, log: str, out: str) -> DataFrame:
+    """Outcome and lines written of each statement, and its rows in the log."""
+    feed = read_run_log(spark, log)
     run_id = F.regexp_extract(F.col("_metadata.file_path"), r"/run-(\d+)/", 1)
     lines = (
         spark.read.text(f"{out}/run-*")
         .groupBy(run_id.cast("bigint").alias("run_id"))
         .agg(F.count("*").alias("n_lines"))
     )
-    return ended.join(lines, "run_id", "left").select(
+    rows = feed.groupBy("run_id").agg(F.count("*").alias("n_logged"))
+    return final_outcome(feed).join(lines, "run_id", "left").join(rows, "run_id").select(
         "run_id",
         F.col("first_state").alias("state"),
         F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
+        "n_logged",
     )
 
 
+def _run_batch(spark: SparkSession, folder: str) -> DataFrame:
+    statements = _region_statements(spark, folder)
+    log, out = fresh_folder(spark, "log"), fresh_folder(spark, "results")
+    run_batch(spark, statements, log, out)
+    return _logged(spark, log, out).drop("n_logged")
+
+
+def _run_batch_resumed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same batch, left after three statements and begun again; every row is logged once."""
+    statements = _region_statements(spark, folder)
+    log, out = fresh_folder(spark, "log"), fresh_folder(spark, "results")
+    outcomes = batch_outcomes(spark, statements, log, out)
+    for _ in range(3):
+        next(outcomes)
+    outcomes.close()
+    for _ in batch_outcomes(spark, statements, log, out, deadline_seconds=3600, resume=True):
+        pass
+    return _logged(spark, log, out)
+
+
 def _stamp_run(spark: SparkSession, folder: str) -> DataFrame:
     """Of the time, only whether it lies after one noted before and not in the future."""
     runs = run_status(read_table(spark, folder, "events")).select("run_id").distinct()
@@ -325,6 +359,10 @@ STATEMENT_QUERIES = {
         from ({TEXT_SQL}) r
         """,
     ),
+    "row_json": Registered(
+        _row_json,
+        "select c_custkey, c_name, nullif(c_mktsegment, 'BUILDING') as s from customer",
+    ),
     "collect_rows": Registered(
         _collect_rows,
         f"select concat('[', o_custkey, ',', n, ']') as value from ({COLLECT_SQL}) r",
@@ -335,6 +373,9 @@ STATEMENT_QUERIES = {
         "select distinct user_id as run_id, concat('/out/run-', user_id) as path from events",
     ),
     "run_batch": Registered(_run_batch, RUN_BATCH_ORACLE),
+    "run_batch_resumed": Registered(
+        _run_batch_resumed, RUN_BATCH_ORACLE.replace(" as n_lines", " as n_lines, cast(2 as bigint) as n_logged")
+    ),
     "stamp_run": Registered(
         _stamp_run,
         "select distinct user_id as run_id, 'localhost' as submit_host, true as timely from events",

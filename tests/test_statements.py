@@ -7,7 +7,8 @@ from pyspark.sql.types import StructType
 
 from runledger.functions.row_text import row_json, row_text
 from runledger.functions.sql_text import is_result_query
-from runledger.operators.batch import read_run_log, run_batch, stream_run_log
+from runledger.operators import batch as batches
+from runledger.operators.batch import batch_outcomes, read_run_log, run_batch, stream_run_log
 from runledger.operators.run_status import final_outcome
 from runledger.operators.statements import (
     collect_rows,
@@ -238,3 +239,42 @@ def test_submit(spark, capsys):
         "FINISHED": 2,
         "PARSEFAILED": 1,
     }
+
+
+def log_rows(spark, log):
+    rows = read_run_log(spark, log).orderBy("seq").collect()
+    return [(r.seq, r.run_id, r.state, r.out_path is not None) for r in rows]
+
+
+def test_batch_begun_again(spark, tmp_path):
+    """Ended between statements, or after SUBMITTED: the log is that of one undisturbed batch."""
+    texts = ["select 1 as a", "selec 2", "select id from range(3)", "select nope", "select 5 as b"]
+    statements = spark.createDataFrame(list(enumerate(texts)), "stmt_id long, sql string")
+    whole, out = str(tmp_path / "whole"), str(tmp_path / "out")
+    run_batch(spark, statements, whole, out + "0")
+    for stop in range(1, 5):
+        log, results = str(tmp_path / f"log{stop}"), f"{out}{stop}"
+        begun = batch_outcomes(spark, statements, log, results)
+        for _ in range(stop):
+            next(begun)
+        begun.close()
+        if stop == 2:  # the third had written something when its driver was lost
+            row = statements.filter("stmt_id = 2").selectExpr("*", "true as is_result_query").first()
+            batches._RunLog(spark, log, 4).append(row, "SUBMITTED", batches.Outcome(2, "SUBMITTED"), 0.0)
+            spark.range(1).selectExpr("'half' as value").write.text(f"{results}/run-2")
+        later = [o.run_id for o in batch_outcomes(spark, statements, log, results, resume=True)]
+        assert later == list(range(stop, 5))
+        assert log_rows(spark, log) == log_rows(spark, whole)
+        assert sorted(r.value for r in spark.read.text(f"{results}/run-2").collect()) == ["[0]", "[1]", "[2]"]
+    assert run_batch(spark, statements, whole, out + "0", resume=True) == []
+
+
+def test_deadline(spark, tmp_path):
+    slow = "select count(*) as n from range(0, 1000000000000000, 1, 4) where hash(id) = 7"
+    statements = spark.createDataFrame([(1, slow), (2, "select 1 as a")], "stmt_id long, sql string")
+    log = str(tmp_path / "log")
+    outcomes = run_batch(spark, statements, log, str(tmp_path / "out"), deadline_seconds=3)
+    assert [o.state for o in outcomes] == ["KILLED", "FINISHED"]
+    assert "longer than 3 seconds" in outcomes[0].reason
+    ended = {r.run_id: (r.outcome, r.first_state) for r in final_outcome(read_run_log(spark, log)).collect()}
+    assert ended == {1: ("FAILED", "KILLED"), 2: ("FINISHED", "FINISHED")}
