@@ -97,15 +97,14 @@ def test_rows_are_shuffled_once(feed, slice_rows):
     else:
         assert exchanges(df) == 3
         assert "partial_max" in plan(df)
+    # The step tables of slices are composed in jobs of their own, before this plan.
     rows = feed.select("run_id", "seq", "ts", "state")
-    assert exchanges(throttled_report(rows, slice_rows=slice_rows)) == (
-        1 if slice_rows == 1_000_000 else 3
-    )
+    assert exchanges(throttled_report(rows, slice_rows=slice_rows)) == 1
 
 
 def test_no_query_crosses_tables(spark, sf):
     for name, case in REGISTRY.items():
-        if "stream" in name or name in ("run_batch", "write_result_text"):
+        if "stream" in name or name in ("run_batch", "run_batch_resumed", "write_result_text"):
             continue
         text = plan(case.run(spark, sf))
         assert "CartesianProduct" not in text, name
