@@ -4,13 +4,20 @@ The patterns give the base spans, which always stand. A conditional random field
 tokens that hold a digit or an at sign adds spans: tokens like known personal data in places
 where the patterns fail. Such a token has an entity label or none; any other token has none for
 certain, so it only serves as context. Tokens that follow each other are neighbours in the
-chain, and tokens of a document that repeat, or differ in digits only, are tied by skip edges,
-so that all mentions of a thing tend to one label. Marginals come from loopy belief propagation,
-all edges of a batch of documents at once.
+chain. Tokens of a document that repeat (``same``), or differ in digits only (``like``), are tied
+by skip edges to a node of their form, which has a label but nothing of its own to see: any two
+mentions are two edges apart, however many there are and however far apart they stand, and edges
+number as many as mentions. So all mentions of a thing tend to one label.
+
+Marginals come from loopy belief propagation, all edges of a batch of documents at once. Each
+document goes on until its messages change by less than ``TOLERANCE``, whatever the others do, so
+its marginals do not depend on the batch. Steps get shorter after ``STEADY`` rounds, which settles
+messages that swing; a document that still changes after ``MAX_ROUNDS`` keeps its last messages, and
+a warning counts such documents.
 
 Weights are learned by pseudo-likelihood from at most ``MAX_TRAINING`` documents (by hash of
-id) in which a pattern matches, labelled by the base spans. The tied tokens of a document
-number as many as its mentions: each is tied to the next alike, a chain, not to all.
+id) in which a pattern matches, labelled by the base spans; there, a form has the label most
+usual among its other mentions.
 
 Defined cases: a null or empty text has no spans; repeated rows give the same spans; an empty
 table gives no rows, and without matches to learn from, base spans only. Columns of the input stay.
@@ -18,6 +25,7 @@ table gives no rows, and without matches to learn from, base spans only. Columns
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runledger.llm import spans
-from runledger.llm.common import slices
+from runledger.llm.common import SPACES, slices
 from runledger.llm.spans import Span
 
 KINDS = ("email", "ip", "card", "phone")
@@ -36,8 +44,14 @@ KINDS = ("email", "ip", "card", "phone")
 #: Documents that learning reads at most.
 MAX_TRAINING = 2_000
 
-#: Rounds of message passing, and the marginal from which a token is an entity.
-ROUNDS, CERTAIN = 8, 0.95
+#: Message passing: the change at which it ends, rounds of full steps, rounds at most.
+TOLERANCE, STEADY, MAX_ROUNDS = 1e-5, 200, 5_000
+
+#: The marginal from which a token is an entity.
+CERTAIN = 0.95
+
+#: Kinds of edges, each with its own potentials.
+EDGES = ("chain", "same", "like")
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # A match never begins within a run of digits: it would have begun at the run's start.
@@ -87,8 +101,10 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
-_TOKEN = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
-_EDGE = re.compile(r"^[^0-9A-Za-z+(]+|[^0-9A-Za-z)]+$")
+_MARK = re.compile(r"[0-9@]")
+_SPACE = re.compile(r"[\x20\x09-\x0D]")
+_LEAD = re.compile(r"[^0-9A-Za-z+(]+")
+_TAIL = re.compile(r"[^0-9A-Za-z)]+")  # of the token turned round
 
 #: Names of what is seen of a token; each is on or off.
 FEATURES = (
@@ -104,19 +120,23 @@ def tokens(text: str) -> list[tuple[int, int, int, str]]:
     ``order`` counts all words of a sort: tokens of consecutive orders are neighbours.
     """
     out, last_end, order = [], 0, 0
-    for m in _TOKEN.finditer(text):
+    mark = _MARK.search(text)
+    while mark:
+        begin = mark.start()
+        while begin > last_end and text[begin - 1] not in SPACES:
+            begin -= 1
+        space = _SPACE.search(text, mark.end())
+        end = space.start() if space else len(text)
         # Only white space between two of them makes them neighbours.
-        order += 1 if out and text[last_end : m.start()].isspace() else 2
-        last_end = m.end()
-        begin, end = m.start(), m.end()
-        lead = _EDGE.match(m[0])
-        core = m[0][lead.end() :] if lead else m[0]
-        begin += lead.end() if lead else 0
-        tail = _EDGE.search(core)
-        if tail and tail.end() == len(core):
-            core, end = core[: tail.start()], end - (tail.end() - tail.start())
-        if core:
-            out.append((begin, end, order, core))
+        order += 1 if out and text[last_end:begin].isspace() else 2
+        last_end = end
+        lead = _LEAD.match(text, begin, end)
+        begin = lead.end() if lead else begin
+        tail = _TAIL.match(text[begin:end][::-1])
+        end -= tail.end() if tail else 0
+        if begin < end:
+            out.append((begin, end, order, text[begin:end]))
+        mark = _MARK.search(text, last_end)
     return out
 
 
@@ -161,22 +181,23 @@ def features(core: str, before: str | None, after: str | None) -> list[int]:
 
 @dataclass
 class Graph:
-    """Tokens of several documents with their edges."""
+    """Tokens of several documents, nodes of repeated forms (numbered after them), and edges."""
 
-    row: list[int]
+    row: list[int]  # the document of each node, tokens and forms
     begin: list[int]
     end: list[int]
     on: list[list[int]]
-    chain: np.ndarray  # (edges, 2)
-    skip: np.ndarray
+    edges: dict[str, np.ndarray]  # by kind, (edges, 2): neighbours, or a form and its mention
 
 
 def graph(texts: list[str]) -> Graph:
     row, begin, end, on = [], [], [], []
-    chain, skip = [], []
+    chain: list[tuple[int, int]] = []
+    forms: list[tuple[str, int, list[int]]] = []  # kind, document, mentions
     for i, text in enumerate(texts):
-        found = tokens(text) if text and (_DIGIT.search(text) or "@" in text) else []
-        last_alike: dict[str, int] = {}
+        found = tokens(text) if text else []
+        same: dict[str, list[int]] = {}
+        like: dict[str, list[int]] = {}
         for k, (b, e, order, core) in enumerate(found):
             here = len(row)
             near = k > 0 and found[k - 1][2] + 1 == order
@@ -187,12 +208,20 @@ def graph(texts: list[str]) -> Graph:
             on.append(features(core, found[k - 1][3] if near else None, found[k + 1][3] if after else None))
             if near:
                 chain.append((here - 1, here))
-            shape = _DIGIT.sub("0", core.lower())
-            if shape in last_alike:
-                skip.append((last_alike[shape], here))
-            last_alike[shape] = here
-    edges = [np.array(x, int).reshape(-1, 2) for x in (chain, skip)]
-    return Graph(row, begin, end, on, *edges)
+            lower = core.lower()
+            same.setdefault(lower, []).append(here)
+            like.setdefault(_DIGIT.sub("0", lower), []).append(here)
+        repeated = [m for m in same.values() if len(m) > 1]
+        whole = {tuple(m) for m in repeated}
+        forms += [("same", i, m) for m in repeated]
+        # Mentions that are all the same are tied once.
+        forms += [("like", i, m) for m in like.values() if len(m) > 1 and tuple(m) not in whole]
+    edges = {kind: [] for kind in EDGES}
+    edges["chain"] = chain
+    for kind, i, mentions in forms:
+        edges[kind] += [(len(row), m) for m in mentions]
+        row.append(i)
+    return Graph(row, begin, end, on, {kind: np.array(e, int).reshape(-1, 2) for kind, e in edges.items()})
 
 
 def _scores(on: list[list[int]], weights: np.ndarray) -> np.ndarray:
@@ -206,42 +235,75 @@ def _scores(on: list[list[int]], weights: np.ndarray) -> np.ndarray:
 
 def marginals(g: Graph, model: dict[str, np.ndarray]) -> np.ndarray:
     """Label probabilities of each token by loopy belief propagation."""
-    unary = _scores(g.on, model["unary"])
-    edges = np.concatenate([g.chain, g.skip])
-    n, labels = unary.shape
+    count, labels = len(g.on), model["unary"].shape[1]
+    row = np.array(g.row, int)
+    belief = np.zeros((len(row), labels))
+    belief[:count] = _scores(g.on, model["unary"])
+    edges = np.concatenate([g.edges[kind] for kind in EDGES])
     if len(edges):
-        pair = np.concatenate(
-            [np.repeat(model[name][None], len(e), 0) for name, e in (("chain", g.chain), ("skip", g.skip))]
-        )
-        to = np.concatenate([edges[:, 1], edges[:, 0]])
-        source = np.concatenate([edges[:, 0], edges[:, 1]])
-        pair = np.concatenate([pair, pair.transpose(0, 2, 1)])
-        half = len(edges)
-        back = np.concatenate([np.arange(half, 2 * half), np.arange(half)])
-        messages = np.zeros((2 * half, labels))
-        for _ in range(ROUNDS):
+        source, to = np.concatenate([edges, edges[:, ::-1]]).T
+        back = np.roll(np.arange(2 * len(edges)), len(edges))
+        kind = np.repeat(np.arange(len(EDGES)), [len(g.edges[k]) for k in EDGES])
+        kind = np.concatenate([kind, kind + len(EDGES)])
+        pairs = [np.exp(model[k]) for k in EDGES]
+        pairs += [pair.T for pair in pairs]
+        messages = np.zeros((2 * len(edges), labels))
+        unary, live = belief, np.arange(2 * len(edges))
+        for round_ in range(MAX_ROUNDS):
+            # Documents share no edge: those that have settled are left as they are.
             belief = unary.copy()
-            np.add.at(belief, to, messages)
-            sent = belief[source] - messages[back]
-            new = np.logaddexp.reduce(sent[:, :, None] + pair, axis=1)
+            np.add.at(belief, to[live], messages[live])
+            sent = belief[source[live]] - messages[back[live]]
+            sent = np.exp(sent - sent.max(axis=1, keepdims=True))
+            new = np.empty_like(sent)
+            for k, pair in enumerate(pairs):
+                of = kind[live] == k
+                new[of] = np.log(sent[of] @ pair)
             new -= new.max(axis=1, keepdims=True)
-            messages = (messages + new) / 2
-        np.add.at(unary, to, messages)
-    unary -= unary.max(axis=1, keepdims=True, initial=-np.inf) if n else 0
-    p = np.exp(unary)
+            off = new - messages[live]
+            messages[live] += off * (0.5 if round_ < STEADY else 0.5 * STEADY / round_)
+            change = np.zeros(row.max() + 1)
+            np.maximum.at(change, row[to[live]], np.abs(off).max(axis=1))
+            live = live[change[row[to[live]]] >= TOLERANCE]
+            if not len(live):
+                break
+        else:
+            unsettled = len(np.unique(row[to[live]]))
+            logging.getLogger(__name__).warning("messages of %d documents did not settle", unsettled)
+        belief = unary.copy()
+        np.add.at(belief, to, messages)
+    belief = belief[:count]
+    p = np.exp(belief - belief.max(axis=1, keepdims=True)) if count else belief
     return p / p.sum(axis=1, keepdims=True)
 
 
+def _places(g: Graph, texts: int) -> list[slice]:
+    """Which tokens are those of each text."""
+    border = np.searchsorted(np.array(g.row[: len(g.on)], int), np.arange(texts + 1))
+    return [slice(int(a), int(b)) for a, b in zip(border[:-1], border[1:])]
+
+
 def token_labels(g: Graph, base: list[list[Span]]) -> np.ndarray:
-    """0 for none, else one more than the kind of the base span over the token."""
-    out = np.zeros(len(g.row), int)
-    for k, (i, b, e) in enumerate(zip(g.row, g.begin, g.end)):
-        for start, kind, stop in base[i]:
-            if start < e and b < stop:
-                out[k] = kind + 1
+    """0 for none, else one more than the kind of the last base span over the token."""
+    out = np.zeros(len(g.on), int)
+    for of, found in zip(_places(g, len(base)), base):
+        if found:
+            over = spans.last_over(found, zip(g.begin[of], g.end[of]))
+            out[of] = [0 if kind is None else kind + 1 for kind in over]
     return out
 
 
+def _form_labels(edges: np.ndarray, gold: np.ndarray, labels: int) -> np.ndarray:
+    """For each edge of a form, the label most usual among the form's other mentions."""
+    if not len(edges):
+        return np.zeros(0, int)
+    form = edges[:, 0] - edges[:, 0].min()
+    own = np.eye(labels)[gold[edges[:, 1]]]
+    counts = np.zeros((form.max() + 1, labels))
+    np.add.at(counts, form, own)
+    return (counts[form] - own).argmax(axis=1)
+
+
 def fit(texts: list[str], steps: int = 400, rate: float = 0.1, decay: float = 1e-3) -> dict[str, np.ndarray] | None:
     """Weights by pseudo-likelihood: each token's label given its neighbours' base labels."""
     g = graph(texts)
@@ -253,19 +315,22 @@ def fit(texts: list[str], steps: int = 400, rate: float = 0.1, decay: float = 1e
     for k, on in enumerate(g.on):
         inputs[k, on] = 1
     want = np.eye(labels)[gold]
-    model = {"unary": np.zeros((len(FEATURES), labels)), "chain": np.zeros((labels, labels)), "skip": np.zeros((labels, labels))}
+    model = {"unary": np.zeros((len(FEATURES), labels)), **{kind: np.zeros((labels, labels)) for kind in EDGES}}
+    chain = g.edges["chain"]
+    ties = {kind: (_form_labels(g.edges[kind], gold, labels), g.edges[kind][:, 1]) for kind in EDGES[1:]}
     squares = {name: np.full_like(w, 1e-6) for name, w in model.items()}
     for _ in range(steps):
         score = inputs @ model["unary"]
-        for name, edges in (("chain", g.chain), ("skip", g.skip)):
-            np.add.at(score, edges[:, 1], model[name][gold[edges[:, 0]]])
-            np.add.at(score, edges[:, 0], model[name].T[gold[edges[:, 1]]])
+        np.add.at(score, chain[:, 1], model["chain"][gold[chain[:, 0]]])
+        np.add.at(score, chain[:, 0], model["chain"].T[gold[chain[:, 1]]])
+        for kind, (form, mention) in ties.items():
+            np.add.at(score, mention, model[kind][form])
         p = np.exp(score - score.max(axis=1, keepdims=True))
         off = p / p.sum(axis=1, keepdims=True) - want
-        grads = {"unary": inputs.T @ off}
-        for name, edges in (("chain", g.chain), ("skip", g.skip)):
-            left, right = edges[:, 0], edges[:, 1]
-            grads[name] = want[left].T @ off[right] + off[left].T @ want[right]
+        left, right = chain.T
+        grads = {"unary": inputs.T @ off, "chain": want[left].T @ off[right] + off[left].T @ want[right]}
+        for kind, (form, mention) in ties.items():
+            grads[kind] = np.eye(labels)[form].T @ off[mention]
         for name, grad in grads.items():
             grad = grad / len(gold) + decay * model[name]
             squares[name] += grad**2
@@ -280,18 +345,19 @@ def added_spans(texts: list[str], base: list[list[Span]], model: dict[str, np.nd
         return out
     g = graph(texts)
     p = marginals(g, model)
-    best = p.argmax(axis=1)
-    for k in np.flatnonzero((best > 0) & (p.max(axis=1, initial=0) >= CERTAIN)):
-        i, b, e = g.row[k], g.begin[k], g.end[k]
-        if not any(start < e and b < stop for start, _, stop in base[i]):
-            out[i].append((b, int(best[k]) - 1, e))
+    best, sure = p.argmax(axis=1), p.max(axis=1, initial=0) >= CERTAIN
+    for of, found, more in zip(_places(g, len(texts)), base, out):
+        over = spans.last_over(found, zip(g.begin[of], g.end[of]))
+        for k, kind in zip(range(of.start, of.stop), over):
+            if kind is None and sure[k] and best[k] > 0:
+                more.append((g.begin[k], int(best[k]) - 1, g.end[k]))
     return out
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = MAX_TRAINING) -> dict | None:
     """A model from at most ``most`` documents that may hold personal data."""
     hint = F.col(text).rlike("@[A-Za-z0-9-]+[.]|[0-9][0-9.() -]{9,}[0-9]")
-    return fit(spans.sample_texts(docs, hint, most, doc_id, text))
+    return fit([r["text"] for r in sorted(spans.sample(docs, hint, most, doc_id, text).collect())])
 
 
 def with_spans(docs: DataFrame, model: dict | None, text: str = "text") -> DataFrame:

@@ -9,7 +9,9 @@ is scored by each automaton, against how ordinary words continue, and joins as a
 
 Learning reads at most ``MAX_TRAINING`` documents (by hash of id) that look like they hold a
 credential, and uses at most ``MAX_CREDENTIALS`` of their distinct credentials of a kind (by hash
-of the value, so that all starts take part); scoring covers all texts.
+of the value, so that all starts take part); tasks take them out of the texts, so that only values
+and counts of classes reach the driver. Scoring covers all runs of all texts: a short one has to be
+the likelier for each of its characters.
 
 Defined cases: a null or empty text has no spans; repeated rows give the same spans; an empty
 table gives no rows, and without credentials to learn from, base spans only.
@@ -21,13 +23,15 @@ import hashlib
 import math
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runledger.llm import spans
+from runledger.llm.common import slices, stored
 from runledger.llm.spans import Span
 
 KINDS = ("assign", "access", "hex", "format")
@@ -35,18 +39,21 @@ KINDS = ("assign", "access", "hex", "format")
 #: Documents that learning reads at most, and credentials of a kind that it uses.
 MAX_TRAINING, MAX_CREDENTIALS = 2_000, 5_000
 
-#: Significance of a difference between two states; length from which a run is a candidate.
-ALPHA, LEAST_LENGTH = 0.01, 16
+#: Significance of a difference between two states; length of an assigned value, and so of a candidate.
+ALPHA, LEAST_LENGTH = 0.01, 6
 
-#: How much likelier (nats a character) a candidate must be as a credential than as words.
-LEAST_GAIN = 1.0
+#: How much likelier (nats a character, and nats in all) a candidate must be as a credential than as words.
+LEAST_GAIN, LEAST_EVIDENCE = 1.0, 16.0
 
 _ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_RUN = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % LEAST_LENGTH)
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+# A whole run of key characters that holds a digit.
+_RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z+/_.=-]*+[0-9][A-Za-z0-9+/_.=-]*+")
+_LETTER = re.compile(r"[A-Za-z]")
 _NAMES = ("password", "passwd", "secret", "token", "api_key", "apikey")
 
 
@@ -175,45 +182,57 @@ class Formats:
     words: dict[str, dict[str, float]]  # log-probability of a class after a class, in ordinary words
 
     def fits(self, value: str) -> bool:
-        # Words and plain numbers are not credentials, however likely.
         if not (any(c.isalpha() for c in value) and any(c.isdecimal() for c in value)):
             return False
         found = classes(value)
-        plain = sum(self.words[a].get(b, math.log(1e-4)) for a, b in zip(["", *found], found)) / len(found)
+        unseen = math.log(1e-4)
+        plain = sum(self.words.get(a, {}).get(b, unseen) for a, b in zip(["", *found], found)) / len(found)
+        gain = max(LEAST_GAIN, LEAST_EVIDENCE / len(found))
         return any(
-            (p := automaton.likelihood(value)) >= least and p - plain >= LEAST_GAIN
+            (p := automaton.likelihood(value)) >= least and p - plain >= gain
             for automaton, least in zip(self.automata, self.least)
         )
 
 
-def _sampled(values: Iterable[str]) -> list[str]:
-    """At most ``MAX_CREDENTIALS`` of the values, by hash: a prefix in order would lack whole classes."""
-    return sorted(sorted(values, key=lambda v: (hashlib.md5(v.encode()).digest(), v))[:MAX_CREDENTIALS])
+#: What is counted of training texts: (kind, value, how often); this kind is of two classes that follow.
+PAIR = -1
 
 
-def infer(texts: list[str]) -> Formats | None:
-    known: dict[int, set[str]] = defaultdict(set)
-    pairs: dict[str, Counter] = defaultdict(Counter)
+def counted(texts: Iterable[str]) -> Counter:
+    """Credentials and, in words that hold none, pairs of classes."""
+    counts: Counter = Counter()
     for text in texts:
-        held = credentials(text)
-        for kind, value in held:
-            if len(value) >= LEAST_LENGTH:
-                known[kind].add(value)
-        secret = {value for _, value in held}
-        for word in text.split():
-            if not any(value in word for value in secret):
-                found = classes(word)
-                for a, b in zip(["", *found], found):
-                    pairs[a][b] += 1
-    if not known:
-        return None
-    words = defaultdict(dict)
-    for a, after in pairs.items():
+        base = base_spans(text)
+        counts.update(credentials(text))
+        places = [(m.start(), m.end()) for m in _WORD.finditer(text)]
+        for (b, e), kind in zip(places, spans.last_over(base, places)):
+            if kind is None:
+                found = classes(text[b:e])
+                counts.update((PAIR, f"{x} {y}") for x, y in zip(["", *found], found))
+    return counts
+
+
+def _draw(value: str) -> str:
+    """A prefix in order of the values would lack whole classes, one in order of this has all."""
+    return hashlib.md5(value.encode()).hexdigest()
+
+
+def learned(counts: Iterable[tuple[int, str, int]]) -> Formats | None:
+    known: dict[int, set[str]] = defaultdict(set)
+    pairs: dict[str, dict[str, int]] = defaultdict(dict)
+    for kind, value, n in counts:
+        if kind == PAIR:
+            before, after = value.split(" ")
+            pairs[before][after] = n
+        else:
+            known[kind].add(value)
+    words = {}
+    for before, after in pairs.items():
         n = sum(after.values())
-        words[a] = {b: math.log((k + 0.01) / (n + 1)) for b, k in after.items()}
+        words[before] = {c: math.log((k + 0.01) / (n + 1)) for c, k in after.items()}
     automata, least = [], []
     for kind in sorted(known):
-        values = _sampled(known[kind])
+        values = sorted(sorted(known[kind], key=lambda v: (_draw(v), v))[:MAX_CREDENTIALS])
         if len(values) < 5:
             continue  # too few to tell a format
         automaton = Automaton(values)
@@ -223,21 +242,41 @@ def infer(texts: list[str]) -> Formats | None:
     return Formats(automata, least, words) if automata else None
 
 
+def infer(texts: list[str]) -> Formats | None:
+    return learned((kind, value, n) for (kind, value), n in counted(texts).items())
+
+
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = MAX_TRAINING) -> Formats | None:
     """Formats from at most ``most`` documents that may hold a credential."""
     hint = F.col(text).rlike("AKIA[A-Z0-9]{16}|[0-9a-f]{24}|(?i:passw|secret|token|api_?key)[a-z]*[\"']? *[:=]")
-    return infer(spans.sample_texts(docs, hint, most, doc_id, text))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                found = [(k, v, n) for (k, v), n in counted(part.column("text").to_pylist()).items()]
+                columns = zip(*found) if found else ((), (), ())
+                types = (pa.int32(), pa.string(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["kind", "value", "n"])
+
+    chosen = spans.sample(docs, hint, most, doc_id, text)
+    parts = chosen.select("text").mapInArrow(count, "kind int, value string, n long")
+    counts = stored(parts.groupBy("kind", "value").agg(F.sum("n").alias("n")), "credentials")
+    # Pairs number at most the classes squared.
+    rows = counts.filter(F.col("kind") == PAIR).collect()
+    for kind in range(len(KINDS) - 1):
+        rows += counts.filter(F.col("kind") == kind).orderBy(F.md5("value"), "value").limit(MAX_CREDENTIALS).collect()
+    return learned(rows)
 
 
 def added_spans(text: str, base: list[Span], formats: Formats | None) -> list[Span]:
     """Candidates that fit a known format and that no base span touches."""
     if formats is None:
         return []
-    return [
-        (m.start(), 3, m.end())
-        for m in _RUN.finditer(text)
-        if not any(b < m.end() and m.start() < e for b, _, e in base) and formats.fits(m[0])
-    ]
+    # Words and plain numbers are not credentials, however likely.
+    runs = (m for m in _RUN.finditer(text) if len(m[0]) >= LEAST_LENGTH and _LETTER.search(m[0]))
+    places = [(m.start(), m.end()) for m in runs]
+    free = (place for place, kind in zip(places, spans.last_over(base, places)) if kind is None)
+    return [(b, 3, e) for b, e in free if formats.fits(text[b:e])]
 
 
 def with_spans(docs: DataFrame, formats: Formats | None, text: str = "text") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -46,18 +46,33 @@ def with_spans(docs: DataFrame, find: Callable[[list[str]], Found], kinds: tuple
     return found.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(keep)], *ADDED)
 
 
-def sample_texts(docs: DataFrame, hint: Column, most: int, doc_id: str, text: str) -> list[str]:
-    """Texts of at most ``most`` documents of which ``hint`` holds, the same ones every time.
+def last_over(found: list[Span], places: Iterable[tuple[int, int]]) -> list[int | None]:
+    """For each of ``places`` (begin, end; apart, in order) the kind of the last span that touches it.
 
-    The hash of the last document chosen is found first, so that only the chosen come here.
+    ``found`` is in order of start; both are walked once.
     """
+    out: list[int | None] = []
+    open_: list[Span] = []
+    at = 0
+    for begin, end in places:
+        while at < len(found) and found[at][0] < end:
+            open_.append(found[at])
+            at += 1
+        # What ends before this place touches no later one.
+        while open_ and open_[-1][2] <= begin:
+            open_.pop()
+        out.append(open_[-1][1] if open_ else None)
+    return out
+
+
+def sample(docs: DataFrame, hint: Column, most: int, doc_id: str, text: str) -> DataFrame:
+    """(draw, text) of at most ``most`` documents of which ``hint`` holds, the same ones every time."""
     draw = F.xxhash64(F.col(doc_id), F.col(text))
     hinted = docs.filter(hint).select(draw.alias("draw"), F.col(text).alias("text"))
     last = hinted.select("draw").distinct().orderBy("draw").limit(most).agg(F.max("draw")).first()[0]
     if last is None:
-        return []
-    rows = hinted.filter(F.col("draw") <= last).dropDuplicates(["draw"]).collect()
-    return [r["text"] for r in sorted(rows)]
+        return hinted.limit(0)
+    return hinted.filter(F.col("draw") <= last).dropDuplicates(["draw"])
 
 
 def count_of(spans: str, kind: str) -> Column:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -92,6 +93,46 @@ def test_merging_leaves_few_states():
     assert automaton.likelihood(values[0]) > automaton.likelihood("zz-zz-" * 6)
 
 
+def test_finds_what_the_patterns_miss():
+    """Formats known from assignments, in places where no pattern looks; words and numbers are left."""
+    rng = random.Random(9)
+    key = lambda: f"sk-{''.join(rng.choice(HEX[:10] + 'GHJKLMNPQRSTVWXYZ') for _ in range(24))}"
+    words = lambda: " ".join("".join(rng.choice("ethoanris") for _ in range(rng.randint(2, 12))) for _ in range(60))
+    formats = secrets.infer([f"{words()} token={key()} {words()} v2 2024-01-02 rel_{rng.randint(1, 99)}" for _ in range(300)])
+    planted = [f"{words()} use {key()} here" for _ in range(200)]
+    found = [secrets.added_spans(t, secrets.base_spans(t), formats) for t in planted]
+    assert not any(map(secrets.base_spans, planted))
+    hits = sum(spans == [(t.index("sk-"), 3, t.index("sk-") + 27)] for t, spans in zip(planted, found))
+    assert hits >= 0.9 * len(planted)
+    clean = [f"{words()} v{n} in 2024-01-02 and file_{n}.txt or 3rd" for n in range(200)]
+    assert not any(secrets.added_spans(t, [], formats) for t in clean)
+
+
+def test_short_runs_are_scored():
+    rng = random.Random(10)
+    formats = secrets.infer([f"{made(rng)} token={'%08X' % rng.getrandbits(32)}z{rng.randint(10, 99)}" for _ in range(300)])
+    short = ["%08X" % rng.getrandbits(32) + f"z{rng.randint(10, 99)}" for _ in range(200)]
+    assert sum(formats.fits(s) for s in short) >= 160
+
+
+def test_long_text_in_linear_time():
+    rng = random.Random(11)
+    formats = secrets.infer([made(rng) for _ in range(50)])
+    begun = time.monotonic()
+    for text in ("token=abcdef9 x1y2z3 " * 50_000, "a" * 1_000_000 + "1", "secret=" * 150_000):
+        secrets.added_spans(text, secrets.base_spans(text), formats)
+        secrets.counted([text])
+    assert time.monotonic() - begun < 60
+
+
+def test_counts_of_tasks_are_those_of_the_texts(spark, frame):
+    rng = random.Random(12)
+    texts = [made(rng) for _ in range(60)]
+    by_tasks = secrets.train(frame(list(enumerate(texts)), "doc_id long, text string"))
+    here = secrets.infer(texts)
+    assert by_tasks.least == here.least and by_tasks.words == here.words
+
+
 def test_edges(spark, frame):
     docs = frame([(1, None, 1), (2, "", 1), (3, "token=abcdef9", 1), (3, "token=abcdef9", 1)], "doc_id long, text string, Base_spans int")
     formats = secrets.train(docs)
