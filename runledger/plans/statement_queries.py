@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from runledger.functions.row_text import row_json, row_text
 from runledger.operators.batch import batch_outcomes, read_run_log, run_batch
+from runledger.operators.overlaps import overlapping
 from runledger.operators.run_status import final_outcome
 from runledger.operators.statements import (
     classify_statement,
@@ -20,6 +21,7 @@ from runledger.operators.statements import (
     unique_out_path,
     write_result_text,
 )
+from runledger.operators.user_aggregate import SKEWNESS, aggregated
 from runledger.plans.registered import Registered
 from runledger.plans.user_functions import register_functions
 from runledger.sources.run_status import run_status
@@ -286,6 +288,58 @@ def _udtf(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _udtf_batches(spark: SparkSession, folder: str) -> DataFrame:
+    register_functions(spark)
+    register_views(spark, folder, ("part",))
+    return run_sql(spark, "select * from words_of_table(table(select p_partkey, p_name from part))")
+
+
+def _udtf_table(spark: SparkSession, folder: str) -> DataFrame:
+    register_functions(spark)
+    register_views(spark, folder, ("events",))
+    rows = "table(select user_id, ts from events)"
+    found = run_sql(spark, f"select * from sessions({rows}, 'user_id', 'ts', {SESSION_GAP})")
+    return found.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in ("begin", "end")})
+
+
+def _udaf_merged(spark: SparkSession, folder: str) -> DataFrame:
+    events = read_table(spark, folder, "events")
+    skewness = aggregated(events, ["event_type"], "value", SKEWNESS, "skewness")
+    return skewness.select("event_type", F.round("skewness", 6).alias("skewness"))
+
+
+def _overlapping_visits(spark: SparkSession, folder: str) -> DataFrame:
+    """A visit is what a user does in a day: how many other visits go on during each."""
+    events = read_table(spark, folder, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    visits = events.groupBy("user_id", "day").agg(F.min("ts").alias("begin"), F.max("ts").alias("end"))
+    return overlapping(visits, ["user_id", "day"])
+
+
+#: Seconds without a row after which a session has ended.
+SESSION_GAP = 4 * 3600
+
+SESSIONS_ORACLE = f"""
+with steps as (
+  select user_id, ts, case when ts - lag(ts) over w <= interval {SESSION_GAP} seconds then 0 else 1 end as new
+  from events where ts is not null window w as (partition by user_id order by ts)
+), numbered as (
+  select *, cast(sum(new) over (partition by user_id order by ts rows unbounded preceding) as bigint) as session
+  from steps
+)
+select user_id, session, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') as begin,
+  strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') as "end", count(*) as n_rows
+from numbered group by 1, 2
+"""
+
+OVERLAPPING_ORACLE = """
+with visits as (
+  select user_id, strftime(ts, '%Y-%m-%d') as day, min(ts) as b, max(ts) as e from events group by 1, 2
+)
+select v.user_id, v.day, count(*) - 1 as n_overlapping
+from visits v join visits o on o.b <= v.e and o.e >= v.b
+group by 1, 2
+"""
+
 ROW_TEXT_SQL = "select c_custkey, c_name, nullif(c_mktsegment, 'BUILDING') as s from customer"
 
 TEXT_SQL = """
@@ -419,4 +473,23 @@ STATEMENT_QUERIES = {
         from (select p_partkey, unnest(string_split(p_name, ' ')) as word from part) w
         """,
     ),
+    "udtf_batches": Registered(
+        _udtf_batches,
+        """
+        select p_partkey, word, cast(length(word) as int) as letters
+        from (select p_partkey, unnest(string_split(p_name, ' ')) as word from part) w
+        """,
+    ),
+    "udtf_table": Registered(_udtf_table, SESSIONS_ORACLE),
+    "udaf_merged": Registered(
+        _udaf_merged,
+        """
+        with means as (select event_type, avg(value) as mean from events group by event_type)
+        select event_type,
+               round(avg((value - mean) ** 3) / avg((value - mean) ** 2) ** 1.5, 6) as skewness
+        from events join means using (event_type)
+        group by event_type
+        """,
+    ),
+    "overlapping_visits": Registered(_overlapping_visits, OVERLAPPING_ORACLE),
 }

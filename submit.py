@@ -1,4 +1,4 @@
-"""Run one SQL statement: ``spark-submit submit.py <base path> "<sql>"``.
+"""Run one SQL statement: ``spark-submit submit.py [--hive] <base path> "<sql>"``.
 
 The result of a query is written as text below the base path, the rows of a
 command are printed; either way the run is recorded in ``<base path>/run-log``.
@@ -6,6 +6,7 @@ command are printed; either way the run is recorded in ``<base path>/run-log``.
 
 from __future__ import annotations
 
+import argparse
 import sys
 import uuid
 
@@ -36,8 +37,17 @@ def submit(spark: SparkSession, base: str, sql: str) -> bool:
     return True
 
 
+def arguments(given: list[str]) -> argparse.Namespace:
+    parser = argparse.ArgumentParser(description="Run one SQL statement and record the run.")
+    parser.add_argument("--hive", action="store_true", help="see the tables of the Hive catalog")
+    parser.add_argument("base", help="folder of results and of the run log")
+    parser.add_argument("sql", help="the statement")
+    return parser.parse_args(given)
+
+
 if __name__ == "__main__":
-    session = session_builder("runledger-submit").getOrCreate()
-    finished = submit(session, sys.argv[1], sys.argv[2])
+    asked = arguments(sys.argv[1:])
+    session = session_builder("runledger-submit", hive=asked.hive).getOrCreate()
+    finished = submit(session, asked.base, asked.sql)
     session.stop()
     sys.exit(not finished)

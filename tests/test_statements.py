@@ -71,6 +71,20 @@ MORE_TEXTS = [
     ("TABLE t", True),
     ("tables", False),
     ("", False),
+    ("/* a /* insert into t */ b */ select 1", True),
+    ("/* a /* b */ select 1", False),
+    ("/* don't */ select 1 /* /* \" */ */", True),
+    ("select 2*/* insert into t */3", True),
+    ("select 8/2 - -1", True),
+    ("select /*+ broadcast(t) */ a from t", True),
+    ("select r'c:\\' as a, 'insert into t' as b", True),
+    ("with x as (select R\"\\\" as a) insert into t select * from x", False),
+    ("select $$it's /* insert into$$ as a", True),
+    ("with x as (select bar'x' from t) update a.`b c` set d = 1", False),
+    ("with x as (select 1) update /* the */ t set d = 1", False),
+    ("select 'a' /* b */ 'c', \"--\", `a``b -- ` from t", True),
+    ("insert /* x */ into t values (1)", False),
+    ("with x as (select 1) insert -- y\n into t select 1", False),
 ]
 
 
@@ -81,6 +95,19 @@ def test_classify(spark):
     assert wrong == []
 
 
+def test_classify_nothing(spark):
+    df = spark.createDataFrame([(None,)], "sql string")
+    assert df.select(is_result_query(F.col("sql"))).first()[0] is None
+
+
+def test_submit_arguments():
+    from submit import arguments
+
+    assert arguments(["--hive", "/base", "select 1"]).hive
+    given = arguments(["/base", "select 1"])
+    assert (given.hive, given.base, given.sql) == (False, "/base", "select 1")
+
+
 def test_classify_long_literals(spark):
     text = "select '" + "\\'" * 200_000 + "' /*" + "*" * 200_000 + "*/"
     df = spark.createDataFrame([(text,)], "sql string")
