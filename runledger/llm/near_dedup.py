@@ -174,24 +174,32 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     return sides.select("a", "b", "text_a", "text_b").mapInArrow(check, pairs.schema)
 
 
+#: Two numbers in place of a node, as those need no buffers of their own in an aggregation.
+MARK = ("mark", "mark_2")
+
+
+def _marks() -> list[Column]:
+    return [F.xxhash64("node").alias(MARK[0]), F.xxhash64("node", F.lit(1)).alias(MARK[1])]
+
+
 def _own_shingles(texts: DataFrame) -> DataFrame:
-    """(mark, own): how many shingles of each of ``texts`` none of the others has."""
+    """(MARK, own): how many shingles of each of ``texts`` none of the others has."""
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 shingles, first = labelled_shingles(Words(part.column("text")))
                 lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(shingles.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column("mark"), lists], ["mark", "shingles"])
+                yield pa.RecordBatch.from_arrays([*map(part.column, MARK), lists], [*MARK, "shingles"])
 
     return (
-        texts.select(F.xxhash64("node").alias("mark"), "text")
-        .mapInArrow(listed, "mark long, shingles array<long>")
-        .select("mark", F.explode("shingles").alias("shingle"))
+        texts.select(*_marks(), "text")
+        .mapInArrow(listed, "mark long, mark_2 long, shingles array<long>")
+        .select(*MARK, F.explode("shingles").alias("shingle"))
         .groupBy("shingle")
-        .agg(F.count("*").alias("n"), F.max("mark").alias("mark"))
+        .agg(F.count("*").alias("n"), *[F.max(m).alias(m) for m in MARK])
         .filter("n = 1")
-        .groupBy("mark")
+        .groupBy(*MARK)
         .agg(F.count("*").alias("own"))
     )
 
@@ -214,8 +222,8 @@ def document_classes(
         "texts",
     )
     members = stored(
-        members.withColumn("mark", F.xxhash64("node"))
-        .join(_own_shingles(texts), "mark", "left")
+        members.select("*", *_marks())
+        .join(_own_shingles(texts), list(MARK), "left")
         .withColumn("common", F.col("shingles") - F.coalesce("own", F.lit(0)))
         .filter(F.col("common") >= F.lit(similarity) * F.col("shingles") - 1e-9)
         .join(nodes.select("node", "keys"), "node")

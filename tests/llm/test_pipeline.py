@@ -53,3 +53,30 @@ def test_stages(spark, sf, tmp_path):
 
 def test_run(spark, sf):
     assert pipeline.run(spark, sf).count() > 0
+
+
+def test_edges(spark, sf, tmp_path):
+    """Null and empty texts, a null id and source, a repeated row, columns of other names; then nothing at all."""
+    good = " ".join(f"word{i * i % 89} of" for i in range(60))
+    rows = [
+        (1, None, "en", "a", None, "x"), (2, "", "en", None, 0, "y"), (3, good, "en", "a", 9, None), (3, good, "en", "a", 9, None),
+        (None, good + " more", None, "b", 9, "z"), (4, "mail a.b@c.de " + " ".join(f"other{i}" for i in range(40)), "en", "b", 9, "w"),
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, `Base_spans` string"
+    frame = spark.createDataFrame(rows, schema)
+    for name, docs in (("rows", frame), ("none", frame.limit(0))):
+        columns = docs.columns
+        for k, (_, stage) in enumerate(pipeline.STAGES):
+            out = stage(spark, docs, sf)
+            assert k == 4 or out.columns == columns
+            out.write.parquet(str(tmp_path / f"{name}{k}"))
+            docs = spark.read.parquet(str(tmp_path / f"{name}{k}"))
+            if k == 0:
+                kept = sorted((r.doc_id or 0, r.text is None) for r in docs.collect())
+                assert kept == ([(0, False), (3, False), (3, False), (4, False)] if name == "rows" else [])
+            if k == 1 and name == "rows":
+                left = docs.collect()
+                assert len(left) == 2 and any("other7" in r.text for r in left)
+            if k == 2 and name == "rows":
+                assert any("<EMAIL>" in r.text and r.n_chars == len(r.text) for r in docs.collect())
+        assert (docs.count() > 0) == (name == "rows")
