@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from runledger.functions.states import is_finished, known_state
+from runledger.operators.run_log import COMPACT_EVERY, LOG_COLUMNS, compact, log_exists, read_run_log
 from runledger.operators.statements import (
     classify_statement,
     run_sql,
@@ -30,26 +31,6 @@ from runledger.operators.statements import (
     write_result_text,
 )
 
-LOG_COLUMNS = {
-    "seq": "bigint",
-    "run_id": "bigint",
-    "ts": "timestamp",
-    "src": "string",
-    "state": "string",
-    "progress": "double",
-    "reason": "string",
-    "error_class": "string",
-    "sql": "string",
-    "is_result_query": "boolean",
-    "out_path": "string",
-    "schema_json": "string",
-    "batch_id": "string",
-    "submit_host": "string",
-    "submitted_at": "timestamp",
-}
-LOG_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in LOG_COLUMNS.items())
-
-
 @dataclass
 class Outcome:
     """What became of a statement; ``result`` holds the rows of a command."""
@@ -63,16 +44,6 @@ class Outcome:
     result: DataFrame | None = None
 
 
-def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    """The log as a run-status feed."""
-    return spark.read.schema(LOG_SCHEMA).parquet(path)
-
-
-def stream_run_log(spark: SparkSession, path: str) -> DataFrame:
-    """The log as a streaming run-status feed."""
-    return spark.readStream.schema(LOG_SCHEMA).parquet(path)
-
-
 def run_batch(
     spark: SparkSession,
     statements: DataFrame,
@@ -80,9 +51,10 @@ def run_batch(
     out_base: str | None = None,
     deadline_seconds: float | None = None,
     resume: bool = False,
+    compact_every: int = COMPACT_EVERY,
 ) -> list[Outcome]:
     """The outcomes of ``batch_outcomes``, all of them at once."""
-    return list(batch_outcomes(spark, statements, log_path, out_base, deadline_seconds, resume))
+    return list(batch_outcomes(spark, statements, log_path, out_base, deadline_seconds, resume, compact_every))
 
 
 def batch_outcomes(
@@ -92,6 +64,7 @@ def batch_outcomes(
     out_base: str | None = None,
     deadline_seconds: float | None = None,
     resume: bool = False,
+    compact_every: int = COMPACT_EVERY,
 ) -> Iterator[Outcome]:
     """Run ``(stmt_id, sql)`` in order of id; a failure does not stop the others.
 
@@ -99,17 +72,18 @@ def batch_outcomes(
     queries are written below ``out_base``; without one they run to the end and
     are returned as DataFrames. Each run is logged as SUBMITTED before it starts
     and with its outcome once its output is complete. Outcomes come one by one, as
-    statements are run, and are not held.
+    statements are run, and are not held. After every ``compact_every`` entries
+    the files of the log are compacted.
     """
     todo, last_seq = classify_statement(statements).select("stmt_id", "sql", "is_result_query"), 0
     todo = todo.withColumn("was_submitted", F.lit(False))
-    if resume and _exists(spark, log_path):
+    if resume and log_exists(spark, log_path):
         logged = read_run_log(spark, log_path)
         last_seq = logged.agg(F.max("seq")).first()[0] or 0
         runs = logged.groupBy(F.col("run_id").alias("stmt_id")).agg(F.max(is_finished(F.col("state"))).alias("ended"))
         todo = todo.drop("was_submitted").join(runs, "stmt_id", "left").where(~F.coalesce("ended", F.lit(False)))
         todo = todo.select("stmt_id", "sql", "is_result_query", F.col("ended").isNotNull().alias("was_submitted"))
-    log = _RunLog(spark, log_path, last_seq)
+    log = _RunLog(spark, log_path, last_seq, compact_every)
     # The texts come to the driver one partition at a time: each is a driver step with
     # Spark jobs of its own.
     for row in todo.orderBy("stmt_id").toLocalIterator():
@@ -156,15 +130,6 @@ def _deadline(spark: SparkSession, seconds: float | None) -> Iterator[threading.
         spark.sparkContext.removeJobTag(tag)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is a log: Spark itself looks, as only it may reach the path."""
-    try:
-        spark.read.schema(LOG_SCHEMA).parquet(path)
-    except AnalysisException:
-        return False
-    return True
-
-
 def _run_statement(spark: SparkSession, row, path: str | None) -> Outcome:
     try:
         result = run_sql(spark, row.sql)
@@ -216,9 +181,12 @@ def _failure(run_id: int, state: str, error: Exception) -> Outcome:
 class _RunLog:
     """Appends to a parquet folder that other sessions may read or stream."""
 
-    def __init__(self, spark: SparkSession, path: str, last_seq: int = 0):
+    def __init__(
+        self, spark: SparkSession, path: str, last_seq: int = 0, compact_every: int = COMPACT_EVERY
+    ):
         self.spark = spark
         self.path = path
+        self.compact_every = compact_every
         self.batch_id = uuid.uuid4().hex
         self.host = socket.gethostname()
         self.seq = last_seq
@@ -246,3 +214,5 @@ class _RunLog:
         if state == "SUBMITTED":
             one = stamp_run(one, self.host)
         one.write.mode("append").parquet(self.path)
+        if self.seq % self.compact_every == 0:
+            compact(self.spark, self.path, self.compact_every)

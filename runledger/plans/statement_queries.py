@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runledger.functions.row_text import row_json, row_text
-from runledger.operators.batch import batch_outcomes, read_run_log, run_batch
+from runledger.operators.batch import batch_outcomes, run_batch
+from runledger.operators.run_log import read_run_log
 from runledger.operators.overlaps import overlapping
 from runledger.operators.run_status import final_outcome
 from runledger.operators.statements import (
@@ -158,14 +159,14 @@ def _run_batch(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _run_batch_resumed(spark: SparkSession, folder: str) -> DataFrame:
-    """The same batch, left after three statements and begun again; every row is logged once."""
+    """The same batch, left after three statements and begun again, its log compacted on the way."""
     statements = _region_statements(spark, folder)
     log, out = fresh_folder(spark, "log"), fresh_folder(spark, "results")
-    outcomes = batch_outcomes(spark, statements, log, out)
+    outcomes = batch_outcomes(spark, statements, log, out, compact_every=2)
     for _ in range(3):
         next(outcomes)
     outcomes.close()
-    for _ in batch_outcomes(spark, statements, log, out, deadline_seconds=3600, resume=True):
+    for _ in batch_outcomes(spark, statements, log, out, deadline_seconds=3600, resume=True, compact_every=2):
         pass
     return _logged(spark, log, out)
 

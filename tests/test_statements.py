@@ -8,7 +8,8 @@ from pyspark.sql.types import StructType
 from runledger.functions.row_text import row_json, row_text
 from runledger.functions.sql_text import is_result_query
 from runledger.operators import batch as batches
-from runledger.operators.batch import batch_outcomes, read_run_log, run_batch, stream_run_log
+from runledger.operators.batch import batch_outcomes, run_batch
+from runledger.operators.run_log import read_run_log, stream_run_log
 from runledger.operators.run_status import final_outcome
 from runledger.operators.statements import (
     collect_rows,
