@@ -5,9 +5,9 @@ learned vocabulary, are weighed by one set of weights that all grades share; ord
 thresholds on the sum give P(grade > k) for each k, and these give the expected grade.
 
 Learning reads at most ``max_labelled`` labelled documents, chosen by hash of their id. Spark
-counts, for each word, the documents of each grade that hold it; the words whose grades differ
-most from the others' (by z-score of the mean grade) become the vocabulary, at most
-``max_words``. Scoring covers all documents and all their words.
+counts, for each word, the documents of each grade that hold it; all words whose grades differ
+from the others' (by z-score of the mean grade), upwards or downwards, become the vocabulary, which
+the labelled documents bound. Scoring covers all documents and all their words.
 
 Defined cases: a null or empty text has no words and the severity of the thresholds alone; an
 id labelled twice has its highest grade; a null label is none; with fewer than two grades, or no
@@ -28,10 +28,10 @@ from pyspark.sql import types as T
 
 from runledger.llm.common import slices, stored
 
-#: Labelled documents and vocabulary words that learning uses at most.
-MAX_LABELLED, MAX_WORDS = 20_000, 2_000
+#: Labelled documents that learning uses at most.
+MAX_LABELLED = 20_000
 
-#: A word counts if its documents' mean grade is this many standard errors above the rest.
+#: A word counts if its documents' mean grade is this many standard errors off the rest's.
 LEAST_Z, LEAST_DOCUMENTS = 5.0, 5
 
 ADDED = ("severity", "grade")
@@ -102,7 +102,6 @@ def train(
     doc_id: str = "doc_id",
     text: str = "text",
     max_labelled: int = MAX_LABELLED,
-    max_words: int = MAX_WORDS,
 ) -> Model:
     sample = (
         labels.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
@@ -137,18 +136,22 @@ def train(
         held.select("grade", F.explode("words").alias("word"))
         .groupBy("word")
         .agg(z.alias("z"), F.count("*").alias("n"))
-        .filter((F.col("z") >= LEAST_Z) & (F.col("n") >= LEAST_DOCUMENTS))
-        .orderBy(F.desc("z"), "word")
-        .limit(max_words)
+        .filter((F.abs("z") >= LEAST_Z) & (F.col("n") >= LEAST_DOCUMENTS))
+        .select("word")
         .collect()
     )
-    place = {r["word"]: i for i, r in enumerate(chosen)}
+    place = {word: i for i, word in enumerate(sorted(r["word"] for r in chosen))}
     if not place:
         return Model({}, [50.0] * (len(grades) - 1), grades)
-    vocabulary = F.array(*[F.lit(w) for w in place])
-    vectors = held.select("grade", F.array_intersect("words", vocabulary).alias("words")).collect()
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [[place[w] for w in words if w in place] for words in batch.column("words").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("grade"), pa.array(found, pa.list_(pa.int32()))], ["grade", "places"])
+
+    vectors = held.mapInArrow(placed, "grade int, places array<int>").collect()
     level = np.array([grades.index(r["grade"]) for r in vectors])
-    inputs = [np.array([place[w] for w in r["words"]], int) for r in vectors]
+    inputs = [np.array(r["places"], int) for r in vectors]
     weights, thresholds = _fit(inputs, level, len(place), len(grades))
     return Model(dict(zip(place, weights.tolist())), thresholds, grades)
 
@@ -164,15 +167,16 @@ def with_severity(docs: DataFrame, model: Model, text: str = "text") -> DataFram
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.severity(t) for t in batch.column("body").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("row"),
-                    pa.array([f[0] for f in found], pa.float64()),
-                    pa.array([f[1] for f in found], pa.int32()),
-                ],
-                schema.names,
-            )
+            for part in slices(batch, "body"):
+                found = [model.severity(t) for t in part.column("body").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("row"),
+                        pa.array([f[0] for f in found], pa.float64()),
+                        pa.array([f[1] for f in found], pa.int32()),
+                    ],
+                    schema.names,
+                )
 
     scored = held.mapInArrow(score, schema)
     return scored.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(keep)], *ADDED)

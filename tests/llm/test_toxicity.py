@@ -50,3 +50,38 @@ def test_severity():
     model = toxicity.Model({"bad": 3.0, "worse": 6.0}, [2.0, 5.0], [0, 1, 3])
     assert model.severity("fine")[1] == 0 and model.severity("Bad!")[1] == 1 and model.severity("worse bad")[1] == 3
     assert model.severity("bad")[0] == pytest.approx(1 / (1 + np.exp(-1)) + 2 / (1 + np.exp(2)))
+
+
+def test_both_ways_and_no_cap(spark):
+    """Thousands of words tell the grades apart, some of them for the low one; all are learned."""
+    names = [f"w{i}" for i in range(3000)]
+    rows = []
+    for i in range(200):
+        grade = i % 2
+        own = names[:2900] if grade else names[2900:]
+        rows.append((i, " ".join([*own, f"rare{i}", "common"]), grade))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(frame.drop("toxic"), frame.drop("text"))
+    assert set(model.weights) == set(names)
+    assert all((model.weights[w] > 0) == (i < 2900) for i, w in enumerate(names))
+
+
+def test_equals_brute_force(spark, sf):
+    """Severity and grade of every document by a plain sum, a text of a megabyte included."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/labels.parquet")
+    whole = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text")
+    model = toxicity.train(whole, labels)
+    assert model.weights
+    long = " ".join(sorted(model.weights)) + " filler" * 150_000
+    docs = docs.union(spark.createDataFrame([(-1, long)], docs.schema))
+    texts = dict(docs.collect())
+    got = toxicity.with_severity(docs, model).collect()
+    assert len(got) == len(texts)
+    for row in got:
+        held = {w for w in toxicity._WORD.findall((texts[row.doc_id] or "").lower())}
+        total = sum(weight for word, weight in model.weights.items() if word in held)
+        above = [1 / (1 + np.exp(t - total)) for t in model.thresholds]
+        expected = model.grades[0] + sum(p * (b - a) for p, a, b in zip(above, model.grades, model.grades[1:]))
+        assert row.severity == pytest.approx(expected)
+        assert row.grade == model.grades[sum(p >= 0.5 for p in above)]
