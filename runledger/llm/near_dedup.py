@@ -241,7 +241,9 @@ def document_classes(
             of = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         # Buckets of one component have nothing left to compare.
         open_ = of.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"))
-        of = of.join(open_.filter("least != most").select("key"), "key")
+        of = stored(of.join(open_.filter("least != most").select("key"), "key"), "open")
+        # Components only grow, so a bucket that is closed stays closed.
+        members = of.drop("label")
         left = of.select("key", F.col("node").alias("x"), F.col("shingles").alias("n_a"), F.col("common").alias("c_a"), F.col("label").alias("l_a"), F.col("keys").alias("k_a"))
         right = of.select("key", F.col("node").alias("y"), F.col("shingles").alias("n_b"), F.col("common").alias("c_b"), F.col("label").alias("l_b"), F.col("keys").alias("k_b"))
         if round_ < LEADER_ROUNDS:
@@ -266,11 +268,8 @@ def document_classes(
             tested = pairs if tested is None else tested.union(pairs)
             if not found.isEmpty():
                 labels = extended(labels, found)
-    if labels is None:
-        labels = members.select("node", F.col("node").alias("label"))
-    grouped = rows.join(labels, "node", "left").select(
-        "doc_id", "node", F.coalesce("label", "node").alias("class")
-    )
+    grouped = rows.withColumn("label", F.col("node")) if labels is None else rows.join(labels, "node", "left")
+    grouped = grouped.select("doc_id", "node", F.coalesce("label", "node").alias("class"))
     heads = grouped.filter(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("head"))
     named = grouped.join(heads, "class", "left")
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("head"))

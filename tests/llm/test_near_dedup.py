@@ -120,3 +120,11 @@ def test_large_groups(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in nd.document_classes(docs).collect()}
     assert got == brute_classes(texts)
+
+
+def test_alike_but_unlinked(spark):
+    """Moved passages share most buckets and do not align: a row and a class for each document."""
+    one, two = (" ".join(f"{name}{i}" for i in range(100)) for name in "vw")
+    docs = spark.createDataFrame([(1, f"{one} {two}"), (2, f"{two} {one}")], "doc_id long, text string")
+    got = nd.document_classes(docs).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == [(1, 1, True), (2, 2, True)]
