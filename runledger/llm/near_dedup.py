@@ -16,8 +16,10 @@ so the most typical, of those outside the components of earlier leaders. Compone
 only members that are still apart from their leader's component go on with the next leader.
 What is apart after ``LEADER_ROUNDS`` is compared pair by pair, across components only and in the
 first bucket that the pair shares, so no pair that shares a bucket is lost and none comes twice. Shingles that no other candidate has bound what a text can have
-in common with any; pairs whose bounds exclude the threshold are left out everywhere, which
-in a large group of texts with many edits each is nearly all of them.
+in common with any; pairs whose bounds exclude the threshold are left out everywhere. Two texts of a
+large group may each be near the rest and still far from each other: before the last comparison the
+parities of both, bit by bit, bound what the pair has in common, so that of such a group hardly
+any but the links are aligned.
 
 Defined cases: texts without words (null, empty, blank) link with nothing; a text of fewer
 than five words is one shingle of all of them; repeated rows are copies; a class is named by
@@ -204,6 +206,42 @@ def _own_shingles(texts: DataFrame) -> DataFrame:
     )
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Whether each of 2 to 4 bits per shingle is hit an odd number of times, in 64-bit numbers.
+
+    What two texts share cancels out, so at least as many shingles differ as bits do. The halves of a
+    longer one, one xor the other, are the parities at half the length.
+    """
+    bits = max(64, 1 << (2 * len(shingles) - 1).bit_length())
+    hits = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((hits & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _parities(texts: DataFrame) -> DataFrame:
+    """(node, whole, half) of each of ``texts`` (node, text): its parities, and those at half the length."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                shingles, first = labelled_shingles(Words(part.column("text")))
+                whole = [parities(shingles[first[i] : first[i + 1]]) for i in range(part.num_rows)]
+                half = [x[: len(x) // 2] ^ x[len(x) // 2 :] if len(x) > 1 else x for x in whole]
+                lists = [pa.array(x, pa.list_(pa.int64())) for x in (whole, half)]
+                yield pa.RecordBatch.from_arrays([part.column("node"), *lists], ["node", "whole", "half"])
+
+    return texts.select("node", "text").mapInArrow(made, "node binary, whole array<long>, half array<long>")
+
+
+def _differing() -> Column:
+    """At least how many shingles only one of both has, from parities at the shorter one's length."""
+    longer = F.size("w_a") - F.size("w_b")
+    one = F.when(longer > 0, F.col("h_a")).otherwise(F.col("w_a"))
+    two = F.when(longer < 0, F.col("h_b")).otherwise(F.col("w_b"))
+    bits = F.zip_with(one, two, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    # Lengths further apart have no parities of one length, and tell nothing.
+    return F.coalesce(F.aggregate(bits, F.lit(0), lambda n, x: n + x), F.lit(0))
+
+
 def document_classes(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY
 ) -> DataFrame:
@@ -231,8 +269,12 @@ def document_classes(
         "members",
     )
     # At most what both have in common with others is aligned.
-    most = F.least("c_a", "c_b")
-    close = most >= F.lit(similarity) * (F.col("n_a") + F.col("n_b") - most) - 1e-9
+    both = F.col("n_a") + F.col("n_b")
+
+    def reachable(most: Column) -> Column:
+        return most >= F.lit(similarity) * (both - most) - 1e-9
+
+    close = reachable(F.least("c_a", "c_b"))
     pair = (F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     tested = labels = leaders = None
     for round_ in range(LEADER_ROUNDS + 1):
@@ -258,7 +300,11 @@ def document_classes(
             leaders = chosen if leaders is None else leaders.union(chosen)
             apart = F.col("l_a") != F.col("l_b")
         else:
+            marks = stored(_parities(texts.join(of.select("node").distinct(), "node", "left_semi")), "parities")
+            left = left.join(marks.toDF("x", "w_a", "h_a"), "x")
+            right = right.join(marks.toDF("y", "w_b", "h_b"), "y")
             apart = (F.col("l_a") < F.col("l_b")) & (F.array_intersect("k_a", "k_b")[0] == F.col("key"))
+            close = close & reachable((both - _differing()) / 2)
         pairs = left.join(right, "key").filter(apart & close).select(*pair).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")

@@ -128,3 +128,42 @@ def test_alike_but_unlinked(spark):
     docs = spark.createDataFrame([(1, f"{one} {two}"), (2, f"{two} {one}")], "doc_id long, text string")
     got = nd.document_classes(docs).collect()
     assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == [(1, 1, True), (2, 2, True)]
+
+
+def test_parities_bound_what_differs():
+    """At any length, also the next shorter one's: never more bits than shingles that differ."""
+    rng = np.random.default_rng(4)
+    for n in [1, 2, 31, 32, 33, 64, 65, 400, 3000]:
+        a = rng.integers(0, 1 << 64, n, np.uint64, endpoint=False)
+        for kept in {0, n // 2, n * 9 // 10, n}:
+            b = np.concatenate([a[:kept], rng.integers(0, 1 << 64, (n - kept) * 9 // 10 + 1, np.uint64, endpoint=False)])
+            x, y = nd.parities(a), nd.parities(b)
+            while len(x) != len(y):
+                x, y = [z if len(z) <= min(len(x), len(y)) else z[: len(z) // 2] ^ z[len(z) // 2 :] for z in (x, y)]
+            differ = len(a) + len(b) - 2 * kept
+            bits = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
+            assert bits <= differ
+            assert bits >= differ * 0.5 or kept < n // 2 or n < 400
+
+
+def test_group_far_from_each_other(spark, monkeypatch):
+    """Each is near a text that is not there, and few are near each other: hardly a pair is aligned."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for place in rng.sample(range(8, 192), 4):
+            words[place] = f"x{i}.{place}"
+        rows.append((i, " ".join(words)))
+    # Links, one with a text of another length of parities.
+    rows += [(200, rows[3][1] + " y1 y2 y3"), (201, rows[4][1].replace("w1 ", "z ")), (202, " ".join(rows[5][1].split()[12:]))]
+    counted = []
+    verified = nd.verified
+    monkeypatch.setattr(nd, "verified", lambda pairs, *rest: counted.append(pairs.count()) or verified(pairs, *rest))
+    monkeypatch.setattr(nd, "LEADER_ROUNDS", 0)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in nd.document_classes(docs).collect()}
+    want = brute_classes(dict(rows))
+    assert got == want and len(set(want.values())) < len(rows)
+    assert sum(counted) < 5 * len(rows)
