@@ -101,11 +101,11 @@ ACCEPTANCE = {
         """,
     ),
     "join_anti": Acceptance(
-        ("part", "supplier"),
+        ("orders", "lineitem"),
         """
-        select p.p_partkey, p.p_name
-        from part p left join supplier s on p.p_partkey = s.s_suppkey
-        where s.s_suppkey is null
+        select o.o_orderkey, o.o_custkey
+        from orders o left join lineitem l on o.o_orderkey = l.l_orderkey
+        where l.l_orderkey is null
         """,
     ),
     "join_theta": Acceptance(

@@ -109,3 +109,14 @@ def test_no_query_crosses_tables(spark, sf):
         text = plan(case.run(spark, sf))
         assert "CartesianProduct" not in text, name
         assert "BroadcastNestedLoopJoin" not in text, name
+
+
+def test_anti_join_takes_whole_tables(spark, tmp_path):
+    """Both tables whole, nothing filtered before the join; keys that repeat or are null."""
+    orders = [(1, 7, "5-LOW"), (2, 7, "1-URGENT"), (3, 8, "5-LOW"), (4, None, None), (None, 9, "2-HIGH"), (5, 1, "5-LOW"), (5, 1, "5-LOW")]
+    lines = [(1, 1), (1, 2), (2, 1), (None, 1), (9, 1)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int").write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = REGISTRY["join_anti"].run(spark, str(tmp_path))
+    assert sorted((r[0] or 0, r[1] or 0) for r in found.collect()) == [(0, 9), (3, 8), (4, 0), (5, 1), (5, 1)]
+    assert "EqualTo" not in plan(found)
