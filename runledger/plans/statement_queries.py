@@ -282,8 +282,10 @@ def _udaf(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _udtf(spark: SparkSession, folder: str) -> DataFrame:
+    """A call of Python per row, so the rows of a table of few files are dealt over all tasks."""
     register_functions(spark)
-    register_views(spark, folder, ("part",))
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    read_table(spark, folder, "part").repartition(width).createOrReplaceTempView("part")
     return run_sql(
         spark, "select p_partkey, word, letters from part, lateral word_lengths(p_name)"
     )

@@ -6,6 +6,7 @@ import pytest
 
 from runledger.operators.overlaps import overlapping
 from runledger.operators.user_aggregate import SKEWNESS, aggregated
+from runledger.plans.registry import REGISTRY
 from runledger.plans.user_functions import register_functions
 
 
@@ -73,3 +74,15 @@ def test_sessions(spark):
     assert {tuple(r) for r in got} == want and len(got) == 4
     with pytest.raises(Exception, match="sessions takes a table"):
         spark.sql("select * from sessions('moments', 'name', 'moment', 10)").collect()
+
+
+def test_calls_per_row_are_dealt(spark, tmp_path):
+    """One file, and every task of the table function has its share; repeated and null keys too."""
+    rows = [(i % 300 or None, " ".join("abcd"[: i % 5]), i) for i in range(400)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_size int").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    found = REGISTRY["udtf"].run(spark, str(tmp_path))
+    want = sorted(((k or 0, w, len(w)) for k, name, _ in rows for w in name.split(" ")))
+    assert sorted((r.p_partkey or 0, r.word, r.letters) for r in found.collect()) == want
+    tasks = found.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert len(tasks) == 4 and min(tasks) > 0
+    assert "BatchEvalPythonUDTF" in found._jdf.queryExecution().executedPlan().toString()
