@@ -30,13 +30,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runledger.llm.common import FIRST, SECOND, Words, slices, stored, windows
+from runledger.llm.common import FIRST, SECOND, Words, batches_of, slices, stored, windows
 
 WIDTH = 35
 
 #: Words of the documents that share a chunk, about; buckets for each shuffle partition.
 CHUNK_WORDS, BUCKETS_PER_PARTITION = 500_000, 4
 
+#: Hits that a task holds before it hands them on, about, of 16 bytes each.
+HITS_HELD = 1_000_000
+
+#: Rows that a task's Python is handed at once: entries are some 16 kB each, hits of a chunk some MB.
+BATCH_ROWS = 64
+
 
 def _text_key(text: str) -> int:
     return int.from_bytes(hashlib.md5(text.encode()).digest()[:8], "little", signed=True)
@@ -80,7 +86,7 @@ def _packed_counts(counts: np.ndarray) -> bytes:
     return bytes([kind.itemsize]) + counts.astype(kind).tobytes()
 
 
-def _counts(packed: bytes) -> np.ndarray:
+def _counts(packed: pa.Buffer) -> np.ndarray:
     return np.frombuffer(packed, f"u{packed[0]}", offset=1)
 
 
@@ -157,57 +163,72 @@ def _hits(entries: DataFrame, partitions: int) -> DataFrame:
         now, blocks = None, []
         index = seen = None  # sorted prints of the bucket's blocks; occurrences so far, at most 2
         where = None  # chunk and document of an only occurrence
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # chunk, document and print of hits
+
+        def rows() -> pa.RecordBatch:
+            chunk, document, prints = (np.concatenate(x) for x in zip(*found))
+            order = np.argsort(chunk, kind="stable")
+            chunks, begin = np.unique(chunk[order], return_index=True)
+            begin = np.append(begin, len(order)) * 4
+            bodies = (document[order].tobytes(), prints[order].tobytes())
+            lists = [[body[i:j] for i, j in zip(begin, begin[1:])] for body in bodies]
+            types = (pa.binary(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(chunks), *[pa.array(x, t) for x, t in zip([*lists, [None] * len(chunks)], types)]], names
+            )
 
+        held = 0
         for batch in batches:
-            out: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
             heads: dict[int, bytes] = {}
-            for bucket, kind, chunk, counts, prints in zip(*(c.to_pylist() for c in batch.columns)):
+            numbers = zip(*(batch.column(n).to_pylist() for n in ("bucket", "kind", "chunk")))
+            for i, (bucket, kind, chunk) in enumerate(numbers):
                 if kind == 2:
-                    heads[chunk] = prints
+                    heads[chunk] = batch.column("prints")[i].as_py()
                     continue
-                prints = np.frombuffer(prints, np.uint32)
+                # A view of the batch, not a copy.
+                prints = np.frombuffer(batch.column("prints")[i].as_buffer(), np.uint32)
                 if bucket != now:
                     now, blocks, index = bucket, [], None
                 if kind == 0:
-                    blocks.append(prints)
+                    blocks.append(prints.copy())
                     if len(blocks) >= 64:
                         blocks = [np.unique(np.concatenate(blocks))]
                     continue
                 if index is None:
                     index = np.unique(np.concatenate([*blocks, np.zeros(0, np.uint32)]))
                     blocks, seen = [], np.zeros(len(index), np.uint8)
-                    where = np.zeros((len(index), 2), np.int64)
+                    where = np.zeros(len(index), np.int64), np.zeros(len(index), np.int32)
                 if not len(index):
                     continue
                 at = np.searchsorted(index, prints)
                 at[at == len(index)] = 0
                 mine = np.flatnonzero(index[at] == prints)
                 at = at[mine]
-                counts = _counts(counts)
-                document = np.repeat(np.arange(len(counts)), counts)[mine]
+                counts = _counts(batch.column("counts")[i].as_buffer())
+                document = np.repeat(np.arange(len(counts), dtype=np.int32), counts)[mine]
                 here = np.bincount(at, minlength=0)
                 before = seen[at].copy()
                 twice = (before > 0) | (here[at] > 1)
-                # An occurrence that was alone until now.
-                for k in np.unique(at[twice & (before == 1)]):
-                    out.setdefault(int(where[k, 0]), []).append((where[k : k + 1, 1], index[k : k + 1]))
+                # Occurrences that were alone until now.
+                k = np.unique(at[twice & (before == 1)])
+                if len(k):
+                    found.append((where[0][k], where[1][k], index[k]))
                 alone = ~twice
-                where[at[alone], 0], where[at[alone], 1] = chunk, document[alone]
+                where[0][at[alone]], where[1][at[alone]] = chunk, document[alone]
                 seen[at] = np.where(twice, 2, 1)
                 if twice.any():
-                    out.setdefault(chunk, []).append((document[twice], prints[mine][twice]))
-            if out or heads:
-                pairs = [[np.concatenate(x) for x in zip(*v)] for v in out.values()]
-                none = [None] * len(heads)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([*out, *heads], pa.int64()),
-                        pa.array([d.astype(np.int32).tobytes() for d, _ in pairs] + none, pa.binary()),
-                        pa.array([p.tobytes() for _, p in pairs] + none, pa.binary()),
-                        pa.array([None] * len(pairs) + list(heads.values()), pa.binary()),
-                    ],
-                    names,
-                )
+                    hits = document[twice]
+                    found.append((np.full(len(hits), chunk), hits, prints[mine][twice]))
+                held += len(k) + int(twice.sum())
+                if held >= HITS_HELD:
+                    yield rows()
+                    found, held = [], 0
+            if heads:
+                none = pa.nulls(len(heads), pa.binary())
+                keys = pa.array(list(heads.values()), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(list(heads), pa.int64()), none, none, keys], names)
+        if found:
+            yield rows()
 
     # The bucket is part of a print, so the same print of two buckets is not the same.
     return (
@@ -279,7 +300,8 @@ def repeated_places(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = partitions * BUCKETS_PER_PARTITION
     entries = _entries(docs, block, buckets)
-    hits = stored(_hits(entries, partitions), "hits")
+    with batches_of(spark, BATCH_ROWS):
+        hits = stored(_hits(entries, partitions), "hits")
 
     pair = F.when(F.col("documents").isNotNull(), F.struct("documents", "prints"))
     chunks = hits.groupBy("chunk").agg(F.collect_list(pair).alias("found"), F.max("keys").alias("keys"))
@@ -341,7 +363,8 @@ def repeated_places(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept) of each row; kept is the text that is left."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    places = stored(repeated_places(docs, width), "repeats")
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        places = stored(repeated_places(docs, width), "repeats")
     schema = T.StructType(
         [
             docs.schema["doc_id"],

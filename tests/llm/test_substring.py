@@ -121,3 +121,33 @@ def test_order_differs_between_runs(spark):
     rows = substring.without_repeats(docs.mapInArrow(mixed_up, docs.schema)).collect()
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in rows}
     assert got == dict(enumerate(brute(texts)))
+
+
+def test_hits_are_handed_on(spark, monkeypatch, conf):
+    """A task holds few hits and few rows at once, and all are found."""
+    conf("spark.sql.shuffle.partitions", 2)
+    rng = random.Random(8)
+    passages = [[f"w{rng.randrange(900)}" for _ in range(60)] for _ in range(30)]
+    texts = [" ".join(w for _ in range(6) for w in rng.choice(passages)) for _ in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def hits():
+        found = {}
+        rows = substring._hits(substring._entries(docs.coalesce(1), 18, 8), 2).filter("keys is null").collect()
+        for r in rows:
+            pairs = (r.documents[i : i + 4] + r.prints[i : i + 4] for i in range(0, len(r.prints), 4))
+            found.setdefault(r.chunk, Counter()).update(map(bytes, pairs))
+        return found, len(rows)
+
+    monkeypatch.setattr(substring, "CHUNK_WORDS", 10_000)
+    whole, few = hits()
+    monkeypatch.setattr(substring, "HITS_HELD", 100)
+    same, many = hits()
+    assert same == whole and many > few
+    at_once = []
+    stored, name = substring.stored, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    monkeypatch.setattr(substring, "stored", lambda df, purpose: at_once.append(int(spark.conf.get(name))) or stored(df, purpose))
+    before = spark.conf.get(name)
+    got = sorted(substring.without_repeats(docs).collect())
+    assert [(r.n_words, r.n_removed, r.kept_sha256) for r in got] == brute(texts)
+    assert at_once == [substring.BATCH_ROWS] * 2 and spark.conf.get(name) == before
