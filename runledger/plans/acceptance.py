@@ -100,12 +100,29 @@ ACCEPTANCE = {
         semi join orders o on c.c_custkey = o.o_custkey
         """,
     ),
+    # The customers without an order of a priority, for every priority there is.
     "join_anti": Acceptance(
-        ("orders", "lineitem"),
+        ("orders", "customer"),
         """
-        select o.o_orderkey, o.o_custkey
-        from orders o left join lineitem l on o.o_orderkey = l.l_orderkey
-        where l.l_orderkey is null
+        with asked as (
+          select c_custkey, c_name, o_orderpriority
+          from customer lateral view inline_outer(
+            (select collect_set(struct(o_orderpriority)) from orders)) p as o_orderpriority)
+        select a.c_custkey, a.c_name, a.o_orderpriority
+        from asked a left join orders o
+          on a.c_custkey = o.o_custkey
+             and a.o_orderpriority is not distinct from o.o_orderpriority
+        where o.o_custkey is null
+        """,
+        """
+        with asked as (
+          select c_custkey, c_name, o_orderpriority
+          from customer left join (select distinct o_orderpriority from orders) p on true)
+        select a.c_custkey, a.c_name, a.o_orderpriority
+        from asked a left join orders o
+          on a.c_custkey = o.o_custkey
+             and a.o_orderpriority is not distinct from o.o_orderpriority
+        where o.o_custkey is null
         """,
     ),
     "join_theta": Acceptance(

@@ -111,12 +111,38 @@ def test_no_query_crosses_tables(spark, sf):
         assert "BroadcastNestedLoopJoin" not in text, name
 
 
+def anti_join_tables(spark, folder, orders):
+    customers = [(7, "a"), (8, "b"), (9, "c"), (1, "d"), (1, "d"), (None, "e"), (6, None)]
+    spark.createDataFrame(customers, "c_custkey long, c_name string").write.parquet(f"{folder}/customer.parquet")
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderpriority string").write.parquet(f"{folder}/orders.parquet")
+    register_views(spark, str(folder), ("customer", "orders"))
+    return customers
+
+
 def test_anti_join_takes_whole_tables(spark, tmp_path):
-    """Both tables whole, nothing filtered before the join; keys that repeat or are null."""
-    orders = [(1, 7, "5-LOW"), (2, 7, "1-URGENT"), (3, 8, "5-LOW"), (4, None, None), (None, 9, "2-HIGH"), (5, 1, "5-LOW"), (5, 1, "5-LOW")]
-    lines = [(1, 1), (1, 2), (2, 1), (None, 1), (9, 1)]
-    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
-    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int").write.parquet(f"{tmp_path}/lineitem.parquet")
+    """Both tables whole, nothing filtered before the join; keys that repeat or are null.
+
+    For every priority the rows are those of the form that asked for one of them only.
+    """
+    orders = [(1, 7, "5-LOW"), (2, 7, "1-URGENT"), (3, 8, "5-LOW"), (4, None, None), (None, 9, "2-HIGH"), (5, 1, "5-LOW"), (5, 1, "5-LOW"), (6, 8, None)]
+    anti_join_tables(spark, tmp_path, orders)
     found = REGISTRY["join_anti"].run(spark, str(tmp_path))
-    assert sorted((r[0] or 0, r[1] or 0) for r in found.collect()) == [(0, 9), (3, 8), (4, 0), (5, 1), (5, 1)]
     assert "EqualTo" not in plan(found)
+    for priority in {o[2] for o in orders}:
+        one = "is null" if priority is None else f"= '{priority}'"
+        first_form = spark.sql(f"""
+            select c.c_custkey, c.c_name
+            from customer c left join (select o_custkey from orders where o_orderpriority {one}) o
+              on c.c_custkey = o.o_custkey
+            where o.o_custkey is null""")
+        got = found.where(f"o_orderpriority {one}").select("c_custkey", "c_name")
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, first_form.collect()))
+    low = found.where("o_orderpriority = '5-LOW'").collect()
+    assert sorted((r.c_custkey or 0, r.c_name or "") for r in low) == [(0, "e"), (6, ""), (9, "c")]
+    assert {r.o_orderpriority for r in found.collect()} == {o[2] for o in orders}
+
+
+def test_anti_join_without_orders(spark, tmp_path):
+    customers = anti_join_tables(spark, tmp_path, [])
+    found = REGISTRY["join_anti"].run(spark, str(tmp_path)).collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(repr((*c, None)) for c in customers)
